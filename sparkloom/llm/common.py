@@ -103,23 +103,30 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] :], offs - offs[0]
 
 
+def word_starts(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes are in words, and where words start. Each text starts anew, whatever the text before ends in."""
+    inside = ~SPACE[raw]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    cuts = offs[:-1][offs[:-1] < len(raw)]
+    first[cuts] = inside[cuts]
+    return inside, np.flatnonzero(first)
+
+
+def word_offsets(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The n + 1 word offsets of n texts."""
+    return np.searchsorted(word_starts(raw, offs)[1], offs)
+
+
 def word_hashes(raw: np.ndarray, offs: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of many texts, and the n + 1 word offsets of the texts.
 
     Each word's hash sums byte codes times powers of an odd base, then scrambles the sum.
     """
-    n = len(offs) - 1
-    if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    inside = ~SPACE[raw]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    cuts = offs[:-1][(offs[:-1] < len(raw))]
-    first[cuts] = inside[cuts]  # a text's first byte starts a word even if the text before ends in one
-    pos = np.flatnonzero(inside)
-    starts = np.flatnonzero(first)
+    inside, starts = word_starts(raw, offs)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
+    pos = np.flatnonzero(inside)
     at = np.searchsorted(pos, starts)
     lens = np.diff(np.append(at, len(pos)))
     within = np.arange(len(pos)) - np.repeat(at, lens)

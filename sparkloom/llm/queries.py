@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, url_rules
+from . import bpe, codes, fingerprint, mixing, quality_rules, url_rules, warc
 from .common import table
 
+TOKENIZER = "word_bpe_49k.json"
 URL_RULES = [
     ("block", "com", "/en/"),
     ("allow", "example.com", "/en/7"),
@@ -24,10 +25,28 @@ def trusted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headers, payloads = warc.write(table(spark, sf_dir, "pages"))
+    out = warc.read(warc.records(headers, payloads))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.read(codes.write(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
     return out.select("doc_id", "quality.*")
@@ -39,12 +58,23 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op2_warc": op2_warc,
+    "op3_order_minhash": op3_order_minhash,
     "op5_mixing": op5_mixing,
+    "op6_token_codes": op6_token_codes,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_rules": op9_url_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+o AS (SELECT *, strlen(html) AS n, max(page_id) OVER (PARTITION BY html) AS owner FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n < 1000 OR page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n < 1000 OR page_id = owner THEN NULL ELSE owner END AS refers_to
+FROM o""",
     "op5_mixing": r"""
 WITH d AS (
   SELECT doc_id, source,
