@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, codes, fingerprint, mixing, quality_rules, url_rules, warc
+from . import bpe, codes, fingerprint, mixing, ngram_join, quality_rules, url_rules, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,6 +39,10 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
     "op3_order_minhash": op3_order_minhash,
+    "op4_ngram_join": op4_ngram_join,
     "op5_mixing": op5_mixing,
     "op6_token_codes": op6_token_codes,
     "op8_quality_rules": op8_quality_rules,
