@@ -103,9 +103,13 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] :], offs - offs[0]
 
 
-def word_starts(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: Separators for plain words: every ASCII byte but letters and digits.
+NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_starts(raw: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Which bytes are in words, and where words start. Each text starts anew, whatever the text before ends in."""
-    inside = ~SPACE[raw]
+    inside = ~space[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offs[:-1][offs[:-1] < len(raw)]
@@ -118,12 +122,12 @@ def word_offsets(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.searchsorted(word_starts(raw, offs)[1], offs)
 
 
-def word_hashes(raw: np.ndarray, offs: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offs: np.ndarray, lower: bool = True, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of many texts, and the n + 1 word offsets of the texts.
 
     Each word's hash sums byte codes times powers of an odd base, then scrambles the sum.
     """
-    inside, starts = word_starts(raw, offs)
+    inside, starts = word_starts(raw, offs, space)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
     pos = np.flatnonzero(inside)

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, codes, fingerprint, mixing, ngram_join, quality_rules, url_rules, warc
+from . import bpe, chat, codes, fingerprint, mixing, ngram_join, quality_model, quality_rules, url_rules, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -51,6 +52,18 @@ def op6_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.read(codes.write(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER)))
 
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, grade): 0 bad, 1 good but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    return table(spark, sf_dir, "labels").where("quality IS NOT NULL AND toxic IS NOT NULL").select("doc_id", grade.alias("grade"))
+
+
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.fit(docs, ratings(spark, sf_dir))
+    return quality_model.judge(docs.select("doc_id", "text"), model).select("doc_id", "rating.*")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
     return out.select("doc_id", "quality.*")
@@ -61,6 +74,17 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: Schemas of the tools that conversations may call.
+TOOLS = {
+    "search": {"type": "object", "required": ["query"], "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1}}, "additionalProperties": False},
+    "calculate": {"type": "object", "required": ["expression"], "properties": {"expression": {"type": "string"}}},
+}
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_messages(table(spark, sf_dir, "conversations"), TOOLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -68,8 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_mixing": op5_mixing,
     "op6_token_codes": op6_token_codes,
+    "op7_quality_model": op7_quality_model,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_rules": op9_url_rules,
+    "op10_chat": op10_chat,
 }
 
 ORACLES: dict[str, str] = {
