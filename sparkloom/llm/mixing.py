@@ -75,7 +75,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, key:
     t = t.withColumn("ranges", F.greatest(F.lit(1), F.ceil(F.col("n_rows") / RANGE_ROWS)).cast("long"))
     d = d.join(small(t, n_sources), d["source"].eqNullSafe(t["source"])).select(d["*"], "source_size", "n_rows", "target", "ranges")
     # Key order is range order: a range is an equal part of the key space.
-    d = d.withColumn("part", F.floor(F.col("rnd") * F.col("ranges") / F.lit(float(1 << KEY_BITS))).cast("long"))
+    d = d.withColumn("part", F.floor(F.col("rnd").cast("double") / F.lit(float(1 << KEY_BITS)) * F.col("ranges")).cast("long"))
     sums = d.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("ahead", F.coalesce(F.sum("part_size").over(ahead), F.lit(0))).select(F.col("source").alias("s"), F.col("part").alias("p"), "ahead")
