@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from .common import batches, text_bytes, word_offsets
 
-#: Chunks that one worker remembers, and the longest chunk that it remembers: together at most some 150 MB.
-REMEMBERED, LONGEST = 400_000, 4096
+#: Chunks that one worker remembers, and the longest chunk that it remembers: together some 200 MB.
+REMEMBERED, LONGEST = 800_000, 4096
 #: Symbols from which a piece is merged with a heap, as its rounds would each go over all of it.
 LONG_PIECE = 2048
 NO_RANK = np.int64(1) << 40

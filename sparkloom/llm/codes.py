@@ -9,6 +9,7 @@ in document order; each block lists its documents and the tokens before it in it
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -118,7 +119,8 @@ def library_encoder(text: str) -> Encoder:
 
         def chunk_ids(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             ids = [tokenizer.encode(c.decode(), add_special_tokens=False).ids for c in new]
-            return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+            lens = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
 
         _ENCODERS.clear()
         _ENCODERS[text] = Encoder(chunk_ids)

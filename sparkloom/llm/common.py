@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -45,13 +46,11 @@ def written(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Removes a table that ``written`` made, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove shuffle files that nothing refers to any more; otherwise they stay until the driver happens
+    to collect garbage, which may be after the job."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

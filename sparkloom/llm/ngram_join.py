@@ -4,9 +4,11 @@ A document is the set of its word shingles. Equal sets are one node. Tokens (shi
 
 1. By hash, which costs nothing. Two sets that link share K tokens of their first E + K, where E is the number of
    tokens that a set may lack in its partner. Only these tokens are counted over the corpus.
-2. By document frequency, rarest first, within those E + K. A node whose tokens are too often its own has no
-   partner. The others take the shortest prefix that must share a token combination with every partner: rare tokens
-   are indexed alone, frequent ones in pairs within classes; each class of pairs extends the prefix by one token.
+   A node that shares fewer than K with others has no partner and is dropped before any full set is moved.
+2. By document frequency among the nodes that remain, rarest first, over their full sets. A node with more than E
+   tokens that no other has is dropped too. Those tokens use up errors, so the others take only the shortest prefix
+   that must share a token combination with every partner: rare tokens are indexed alone, frequent ones in pairs
+   within classes; each class of pairs extends the prefix by one token.
 
 Nodes that share a combination are compared with a few pivots of that combination at a time, and only while they
 are in different groups, so a group of thousands of near copies costs a few comparisons a member. Rounds go on
@@ -16,20 +18,22 @@ until no combination holds two nodes of different groups that weren't compared.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, batches, mix, small, text_bytes, word_hashes, written
+from .common import BASE, batches, mix, release, small, text_bytes, word_hashes, written
 
 WORDS = 5
 #: Documents of a token from which it is indexed in pairs.
 FREQUENT = 128
 #: One more token in the first order for each so many of the set.
 SLACK = 8
+#: Longs of a bitmap of a node's shared tokens that are not frequent.
+MAP = 4
 #: Members of a combination up to which all its pairs are compared in the second round.
 FEW = 12
 SET = "doc_id long, n long, sig binary, tokens array<long>"
@@ -46,12 +50,8 @@ def extra(n):  # noqa: ANN001, ANN201
 
 
 def classes(n):  # noqa: ANN001, ANN201
-    """Classes of frequent tokens for partners whose smaller set has n tokens; the same for all n of a power of two.
-
-    At most K - 1 for the smallest possible partner, so that the prefix can be extended by a token for each.
-    """
-    low = 1 << max(0, int(n).bit_length() - 1)
-    return max(1, 3 * low // (4 * SLACK) - 1)
+    """Classes of frequent tokens for partners whose smaller set has n tokens; the same for all n of a power of two."""
+    return max(1, (1 << max(0, int(n).bit_length() - 1)) // 16)
 
 
 def shingle_sets(docs: DataFrame, whole: bool, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -99,12 +99,13 @@ def least_shared(n: Column) -> Column:
     return F.greatest(F.lit(2), F.floor(F.floor((3 * n + 3) / 4) / SLACK)).cast("long")
 
 
-def first_tokens(n: Column) -> Column:
-    return n - F.floor((3 * n + 3) / 4).cast("long") + F.greatest(F.lit(2), F.floor(n / SLACK)).cast("long")
+def all_shared(n: Column) -> Column:
+    """The same for full sets."""
+    return F.floor((3 * n + 3) / 4).cast("long")
 
 
-def shared_tokens(nodes: DataFrame, name: str) -> DataFrame:
-    """(node, n, tokens): nodes that may have a partner, with those of their tokens that other nodes have too.
+def shared_tokens(nodes: DataFrame, name: str, least: Callable[[Column], Column]) -> DataFrame:
+    """(node, n, sig, doc_id, tokens): nodes that may have a partner, with those of their tokens that other nodes have too.
 
     ``tokens`` becomes an array of (df, token). Counting combines within each task first. The join back is an
     ordinary equi-join on the token, in which Spark splits the partitions of tokens that very many nodes have.
@@ -113,12 +114,22 @@ def shared_tokens(nodes: DataFrame, name: str) -> DataFrame:
     df = t.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     hits = t.join(df, "token").groupBy("node").agg(F.collect_list(F.struct("df", "token")).alias("tokens"))
     sizes = nodes.select(F.col("node").alias("id"), "n", "sig", "doc_id")
-    out = hits.join(sizes, F.col("node") == F.col("id")).where(F.size("tokens") >= least_shared(F.col("n")))
+    out = hits.join(sizes, F.col("node") == F.col("id")).where(F.size("tokens") >= least(F.col("n")))
     return written(out.select("node", "n", "sig", "doc_id", "tokens"), name)
 
 
+def plain(nodes: DataFrame) -> DataFrame:
+    """Nodes with tokens alone, without their frequencies."""
+    return nodes.withColumn("tokens", F.transform("tokens", lambda x: x["token"]))
+
+
 def combinations(nodes: DataFrame) -> DataFrame:
-    """(combo, node, n, own): the token combinations of each node's prefix. ``own``: tokens that no other node has."""
+    """(combo, node, n, own, m0, m1, ...): the token combinations of each node's prefix.
+
+    ``own``: tokens that no other node has. The bitmap has a bit for each shared token that is not frequent; a bit that
+    the other node of a pair lacks is a token that it lacks.
+    """
+    maps = [f"m{k}" for k in range(MAP)]
 
     def of(n: int, df: np.ndarray, token: np.ndarray) -> np.ndarray:
         order = np.lexsort((token, df))
@@ -126,7 +137,7 @@ def combinations(nodes: DataFrame) -> DataFrame:
         rare = int(np.searchsorted(df, FREQUENT, "right"))
         out = []
         # Errors that a partner may make among the shared tokens, and one more.
-        goal = len(token) - int(extra(needed(n))) + 1
+        goal = len(token) - needed(n) + 1
         least = max(1, int(needed(n)))
         for low in {1 << (least.bit_length() - 1), 1 << (n.bit_length() - 1)}:  # sizes of the smaller set of a pair
             if rare >= goal:
@@ -152,12 +163,15 @@ def combinations(nodes: DataFrame) -> DataFrame:
             df, token = vals.field("df").to_numpy(), vals.field("token").to_numpy()
             node, n, owns = b.column("node").to_numpy(), b.column("n").to_numpy(), b.column("own").to_numpy()
             for i in range(b.num_rows):
-                x = of(int(n[i]), df[offs[i] : offs[i + 1]], token[offs[i] : offs[i + 1]])
-                yield pa.RecordBatch.from_arrays([pa.array(x), *(pa.array(np.full(len(x), v[i])) for v in (node, n, owns))], names=["combo", "node", "n", "own"])
+                d, t = df[offs[i] : offs[i + 1]], token[offs[i] : offs[i + 1]]
+                x = of(int(n[i]), d, t)
+                bits = np.zeros(64 * MAP, np.uint8)
+                bits[(t[d <= FREQUENT].view(np.uint64) >> np.uint64(7)) % np.uint64(len(bits))] = 1
+                bitmap = np.packbits(bits).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x), *(pa.array(np.full(len(x), v)) for v in (node[i], n[i], owns[i], *bitmap))], names=["combo", "node", "n", "own", *maps])
 
-    own = first_tokens(F.col("n")) - F.size("tokens")
-    d = nodes.select("node", "n", own.cast("long").alias("own"), "tokens")
-    return d.mapInArrow(run, "combo long, node long, n long, own long")
+    d = nodes.select("node", "n", (F.col("n") - F.size("tokens")).cast("long").alias("own"), "tokens")
+    return d.mapInArrow(run, "combo long, node long, n long, own long, " + ", ".join(f"{m} long" for m in maps))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -186,16 +200,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return d.where("100 * i >= 75 * (total - i)").select("a", "b")
 
 
-def plausible(d: DataFrame) -> DataFrame:
-    """Pairs whose sizes, and tokens that are theirs alone, leave room for a link: an exact bound."""
-    fits = lambda n, own: 7 * (F.col(n) - F.col(own)) >= 3 * (F.col("na") + F.col("nb"))
-    return d.where((F.col("a") != F.col("b")) & fits("na", "owna") & fits("nb", "ownb"))
+def plausible(x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """Whether the overlap can reach 3/7 of both sizes together, the least at a similarity of 0.75. An exact bound:
+    tokens that only one node has, or whose bit the other lacks, aren't in the overlap."""
+    fits = F.lit(True)
+    for a, b in ((x, y), (y, x)):
+        lacks = sum((F.bit_count(a[f"m{k}"].bitwiseAND(F.bitwise_not(b[f"m{k}"]))) for k in range(MAP)), F.lit(0))
+        fits &= 7 * (a["n"] - a["own"] - lacks) >= 3 * (a["n"] + b["n"])
+    return fits
 
 
 def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
     """(id, root) for every node that has a link: groups of nodes, by rounds of comparisons with pivots."""
     spark = combos.sparkSession
-    members = combos.select("combo", "node", "n", "own", F.col("node").alias("root"))
+    facts = ["node", "n", "own", *(f"m{k}" for k in range(MAP))]
+    members = combos.withColumn("root", F.col("node"))
     roots = spark.createDataFrame([], "id long, root long")
     checked = spark.createDataFrame([], "a long, b long")
     pivots = 1
@@ -209,11 +228,12 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
         many = members.where(F.col("m") > FEW) if pivots > 1 else members
         # Pivots: in each combination, the smallest node of each of so many parts.
         part = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
-        chosen = many.groupBy("combo", part.alias("part")).agg(F.min(F.struct("node", "n", "own", "root")).alias("p")).union(few.select("combo", F.lit(0).cast("long"), F.struct("node", "n", "own", "root")))
-        p = chosen.select(F.col("combo").alias("c"), F.col("p.node").alias("a"), F.col("p.n").alias("na"), F.col("p.own").alias("owna"), F.col("p.root").alias("ra"))
-        pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("root") != F.col("ra")))
-        pairs = plausible(pairs.select("a", "na", "owna", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ownb")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
+        chosen = many.groupBy("combo", part.alias("part")).agg(F.min(F.struct(*facts, "root")).alias("p"))
+        chosen = chosen.select("combo", "p").union(few.select("combo", F.struct(*facts, "root")))
+        p = chosen.select(F.col("combo").alias("c"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
+        may = plausible({f: F.col(f) for f in facts}, {f: F.col(f"p_{f}") for f in facts})
+        pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("root") != F.col("p_root")) & may)
+        pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         links = verified(pairs, sets)
         # Links between groups, as links of their roots
@@ -228,11 +248,11 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
             merged = merged.select("id", F.coalesce("to", "root").alias("root"))
             roots = written(merged.union(new.join(roots.select(F.col("id").alias("o")), F.col("id") == F.col("o"), "left_anti")), "roots")
         # Pivots, and all of the combinations that were compared in full, are done.
-        done = p.select(F.col("c"), F.col("a"))
-        members = many.join(done, (F.col("combo") == F.col("c")) & (F.col("node") == F.col("a")), "left_anti").drop("m", "root")
+        done = p.select("c", "p_node")
+        members = many.join(done, (F.col("combo") == F.col("c")) & (F.col("node") == F.col("p_node")), "left_anti").drop("m", "root")
         r = roots.select(F.col("id").alias("r_id"), F.col("root").alias("r_root"))
-        members = members.join(r, F.col("node") == F.col("r_id"), "left").select("combo", "node", "n", "own", F.coalesce("r_root", "node").alias("root"))
-        pivots *= 4
+        members = members.join(r, F.col("node") == F.col("r_id"), "left").select("combo", *facts, F.coalesce("r_root", "node").alias("root"))
+        pivots *= 8
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,15 +268,26 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     nodes = d.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     nodes = nodes.withColumn("node", node_key(F.col("doc_id"), F.col("sig")))
     nodes = written(nodes, "nodes")
-    alive = shared_tokens(nodes, "shared")
-    again = alive.withColumn("tokens", F.transform("tokens", lambda x: x["token"]))
-    alive = shared_tokens(again, "shared")
+    alive = shared_tokens(nodes, "shared", least_shared)
+    alive = shared_tokens(plain(alive), "shared", least_shared)
     n_alive = alive.count()
     wanted = alive.select(F.col("doc_id").alias("w")).distinct()
     candidates = docs.join(small(wanted, n_alive), F.col(key).cast("long").eqNullSafe(F.col("w")), "left_semi")
     full = shingle_sets(candidates, True, key, text).select(F.col("sig").alias("s"), F.col("tokens").alias("all"))
-    full = full.join(small(alive.select("sig", "node"), n_alive), F.col("s") == F.col("sig")).groupBy("node").agg(F.first("all").alias("tokens"))
-    roots = linked_groups(written(combinations(alive), "combos"), written(full, "full"))
+    full = full.join(small(alive.select("sig", "node", "n", "doc_id"), n_alive), F.col("s") == F.col("sig"))
+    full = full.groupBy("node", "n", "sig", "doc_id").agg(F.first("all").alias("tokens"))
+    full = written(full, "full")
+    release(docs.sparkSession)
+    alive = shared_tokens(full, "shared", all_shared)
+    left = alive.count()
+    while True:  # each node that goes may leave others with too few shared tokens
+        alive = shared_tokens(plain(alive), "shared", all_shared)
+        before, left = left, alive.count()
+        if left > 0.9 * before:
+            break
+    release(docs.sparkSession)
+    sets = full.join(alive.select(F.col("node").alias("o")), F.col("node") == F.col("o"), "left_semi").select("node", "tokens")
+    roots = linked_groups(written(combinations(alive), "combos"), written(sets, "sets"))
     # From nodes to documents: the smallest key of each group
     ids = nodes.select("node", "sig", F.col("doc_id").alias("first"))
     r = roots.select(F.col("id").alias("r_id"), "root")

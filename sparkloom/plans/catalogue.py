@@ -1,6 +1,6 @@
-"""Registered queries by name, and the SQL that checks them."""
+"""All registered queries of the library, except those of training-data pipelines."""
 
-from __future__ import annotations
+from . import functions, relational, tasks, windows  # noqa: F401  they register themselves
+from .registry import ORACLES, QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
