@@ -96,7 +96,7 @@ class Appender:
         full = full.withColumns({k: F.expr(v) for k, v in c.generated.items()})
         full = full.select(*[F.col(f.name).cast(f.dataType) for f in self.all])
         c.check(self.spark, self.table, full)
-        full.writeTo(self.table).append()
+        full.write.insertInto(self.table)  # in the order of the table's columns
 
     def __enter__(self) -> Appender:
         return self

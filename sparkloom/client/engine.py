@@ -169,7 +169,7 @@ class Engine:
             if table in self.constraints:
                 self.constraints[table].check(self.spark, table, staged)
             n = staged.count()
-            staged.writeTo(table).append()
+            staged.select(self.spark.table(table).columns).write.insertInto(table)
             return self.spark.createDataFrame(staged.select(*returning).toArrow()) if returning else n
         finally:
             staged.unpersist()

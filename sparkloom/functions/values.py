@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: fixed values: strftime specifiers and Spark's date patterns
 STRFTIME = {
-    "%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%f": "SSSSSS", "%y": "yy", "%b": "MMM", "%B": "MMMM", "%j": "DDD", "%p": "a", "%I": "hh", "%%": "'%'",
+    "%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%f": "SSSSSS", "%y": "yy", "%b": "MMM", "%B": "MMMM", "%j": "DDD", "%p": "a", "%I": "hh", "%%": "%",
 }
 
 #: fixed values: ranges of unsigned and 128-bit integers that Spark's types can't state
@@ -37,14 +39,9 @@ def item(x: Column, i: int) -> Column:
 
 
 def strftime(x: Column, pattern: str) -> Column:
-    out, i = "", 0
-    while i < len(pattern):
-        if pattern[i] == "%":
-            out += STRFTIME[pattern[i : i + 2]]
-            i += 2
-        else:
-            out += pattern[i] if not pattern[i].isalpha() else f"'{pattern[i]}'"
-            i += 1
+    out = ""
+    for piece in re.findall(r"%.|[^%]+", pattern, re.S):
+        out += STRFTIME[piece] if piece[0] == "%" else "'" + piece.replace("'", "''") + "'"
     return F.date_format(x, out)
 
 

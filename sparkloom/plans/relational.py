@@ -139,7 +139,7 @@ def agg_distinct_on(t: Tables) -> DataFrame:
 @query("pivot_status", """SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O') AS O,
 count(*) FILTER (WHERE o_orderstatus = 'P') AS P FROM orders GROUP BY o_orderpriority""")
 def pivot_status(t: Tables) -> DataFrame:
-    return shapes.pivot(t.orders, "o_orderstatus", F.count("*"), ["o_orderpriority"], ["F", "O", "P"]).na.fill(0)
+    return shapes.pivot(t.orders, "o_orderstatus", F.count(F.lit(1)), ["o_orderpriority"], ["F", "O", "P"]).na.fill(0)
 
 
 @query("pivot_inferred", "PIVOT (VALUES ('Amsterdam', 2000, 1005), ('Amsterdam', 2010, 1065), ('Berlin', 2000, 3382), ('Berlin', 2010, 3460)) c(city, year, population) ON year USING sum(population)::BIGINT")
