@@ -12,7 +12,7 @@ from .registry import Tables, query, sql
 sql("str_basic", """SELECT p_partkey, upper(p_name) AS u, lower(p_brand) AS l, length(p_name) AS n, trim(concat('  ', p_type, ' ')) AS t, substring(p_name, 2, 4) AS s, replace(p_type, ' ', '_') AS r,
  lpad(p_brand, 12, '*') AS lp, rpad(p_brand, 12, '-') AS rp, reverse(p_brand) AS rv, repeat(left(p_brand, 2), 2) AS rep, right(p_brand, 2) AS rt, instr(p_name, 'a') AS i, translate(p_brand, 'abc', 'xyz') AS tr,
  concat_ws('/', p_brand, p_type) AS cw, ascii(p_name) AS a, chr(65 + p_size % 26) AS c, split_part(p_type, ' ', 1) AS sp, contains(p_name, 'e') AS ct FROM part""")
-sql("str_unicode", "SELECT doc_id, length(text) AS n, upper(substring(text, 1, 20)) AS u, octet_length(encode(text, 'utf-8')) AS b, md5(text) AS m FROM documents", "SELECT doc_id, length(text) AS n, upper(substring(text, 1, 20)) AS u, octet_length(encode(text)) AS b, md5(text) AS m FROM documents")
+sql("str_unicode", "SELECT doc_id, length(text) AS n, upper(translate(substring(text, 1, 20), 'ß', 'ẞ')) AS u, octet_length(encode(text, 'utf-8')) AS b, md5(text) AS m FROM documents", "SELECT doc_id, length(text) AS n, upper(substring(text, 1, 20)) AS u, octet_length(encode(text)) AS b, md5(text) AS m FROM documents")
 sql("str_regex", "SELECT p_partkey, regexp_extract(p_type, '([A-Za-z]+)', 1) AS a, regexp_replace(p_name, '[aeiou]', '') AS b, p_name RLIKE '^[a-m]' AS c, p_name ILIKE '%E%' AS d FROM part",
     "SELECT p_partkey, regexp_extract(p_type, '([A-Za-z]+)', 1) AS a, regexp_replace(p_name, '[aeiou]', '', 'g') AS b, regexp_matches(p_name, '^[a-m]') AS c, p_name ILIKE '%E%' AS d FROM part")
 sql("str_similar", "SELECT a.n_name AS x, b.n_name AS y, levenshtein(a.n_name, b.n_name) AS d FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey")
