@@ -283,7 +283,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     while True:  # each node that goes may leave others with too few shared tokens
         alive = shared_tokens(plain(alive), "shared", all_shared)
         before, left = left, alive.count()
-        if left > 0.9 * before:
+        if left >= 0.9 * before:
             break
     release(docs.sparkSession)
     sets = full.join(alive.select(F.col("node").alias("o")), F.col("node") == F.col("o"), "left_semi").select("node", "tokens")
