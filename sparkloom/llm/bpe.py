@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import batches, text_bytes, word_offsets
+from .common import batches, map_arrow, text_bytes, word_offsets
 
 #: Chunks that one worker remembers, and the longest chunk that it remembers: together some 200 MB.
 REMEMBERED, LONGEST = 800_000, 4096
@@ -277,7 +277,7 @@ def with_columns(df: DataFrame, column: str, fields: list[T.StructField], make:
             new = make(*text_bytes(batch.column(column)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names=[*kept, *(f.name for f in fields)])
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -311,7 +311,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             new = [v.decode(np.array(x or [], np.int64)).decode() for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(new, pa.string())], names=[*kept, text])
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, powers
+from .common import map_arrow, mix, powers
 
 K, L, M = 8, 2, 64
 #: Hex digits of an entry.
@@ -105,7 +105,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerpri
             new = [as_text(signature(x or "")) for x in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(new, pa.string())], names=[*kept, name])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def likeness(a: Column, b: Column) -> Column:

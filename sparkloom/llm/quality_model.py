@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NOT_WORD, batches, mix, text_bytes, word_hashes
+from .common import batches, map_arrow, mix, NOT_WORD, text_bytes, word_hashes
 
 #: Features are hashed to this many bits: the model is 2^BITS numbers whatever the corpus.
 BITS = 18
@@ -171,4 +171,4 @@ def judge(docs: DataFrame, model: Model, text: str = "text", min_top: float = MI
             rating = pa.StructArray.from_arrays([pa.array(m.expected(tails)), pa.array(top), pa.array(top >= min_top)], names=[f.name for f in kind])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), rating], names=[*kept, name])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
