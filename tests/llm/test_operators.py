@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -232,6 +234,31 @@ def test_quality_rules_scores(docs):
         assert r.quality.score == pytest.approx(np.mean([ratio[hashes[x]] for x in w]) if w else 0, abs=1e-4)
 
 
+@pytest.mark.parametrize("order", [1, 2])
+def test_quality_rules_grow(spark, sf_dir, order):
+    """With more distinct n-grams than buckets each has its own count, whichever of them are broadcast."""
+    d = queries.table(spark, sf_dir, "documents").where("doc_id % 2 = 0")
+    d = d.union(d.limit(3)).union(d.limit(2).withColumn("text", quality_rules.F.lit(None).cast("string")))
+    trusted = queries.trusted_labels(spark, sf_dir)
+    ids = {r.doc_id for r in trusted.collect()}
+    grams_of = lambda t: [" ".join(x) for x in zip(*(words(t)[k:] for k in range(order)), strict=False)]
+    good, raw = Counter(), Counter()
+    for r in d.collect():
+        raw.update(grams_of(r.text))
+        if r.doc_id in ids:
+            good.update(grams_of(r.text))
+    share = sum(good.values()) / sum(raw.values())
+    assert share > 0 and len(raw) > 1000
+    for table_rows in (quality_rules.TABLE_ROWS, 200, 0):
+        out = quality_rules.judge(d, trusted, buckets=1000, order=order, table_rows=table_rows).collect()
+        assert len(out) == d.count()
+        for r in out:
+            g = grams_of(r.text)
+            want = np.mean([math.log((good[x] + 1) / (raw[x] * share + 1)) for x in g]) if g else 0
+            assert r.quality.score == pytest.approx(want, abs=2e-6)
+            assert r.quality.kept == (not r.quality.base_failed and r.quality.score >= quality_rules.MIN_SCORE)
+
+
 def test_url_rules(spark, same):
     same(queries.QUERIES["op9_url_rules"], queries.ORACLES["op9_url_rules"])
     urls = [None, "", "no scheme", "http://A.Example.COM/en/7x?q", "http://example.com/en/1", "https://x.net/de/8#a", "https://b.example.net/de/81", "http://com/en/", "http://notexample.com", "http://org?/es/", "a://b.org/es/\u00e9", "://com/en/"] * 2
