@@ -7,11 +7,24 @@ Each function takes (spark, docs, sf_dir) and returns a DataFrame; the stages be
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe, mixing, ngram_join, quality_model, quality_rules
-from sparkloom.llm.common import table, work_dir
+from sparkloom.llm.common import table, work_dir, written
 from sparkloom.llm.queries import TOKENIZER, ratings, tokenizer_path, trusted_labels
 
+#: Column of row keys, unique whatever ids the documents have.
+ROW = "_p_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row key, written once so that every use sees the same keys."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def plain(docs: DataFrame, columns: list[str]) -> DataFrame:
+    return docs.select(*[f"`{c}`" for c in columns])
+
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: fitted on rated documents, keeps those whose top grade is likely enough."""
@@ -25,9 +38,16 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays."""
-    groups = ngram_join.join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(docs.columns)
+    """N-gram Jaccard join: of each group of linked rows exactly one stays, repeated rows and rows without an id included.
+
+    It is the one with the smallest id (null last), then the smallest text digest. Rows, not ids, are linked: texts that
+    share an id are judged each by itself, and a row that is linked with no other stays whatever its id.
+    """
+    rows = numbered(docs)
+    groups = ngram_join.join(rows, ROW).select(F.col(ROW).alias("r"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.md5("text").alias("digest"), ROW)
+    first = rows.select(ROW, order.alias("o")).join(groups, F.col(ROW) == F.col("r")).groupBy("component_id").agg(F.min("o").alias("o"))
+    return plain(rows.join(first.select(F.col(f"o.{ROW}").alias(ROW)), ROW, "left_semi"), docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
 """The pipeline's stages, each on what the one before kept."""
 
+import hashlib
+from collections import Counter, defaultdict
+
 import corpus_pipeline
 from sparkloom.llm import quality_model, quality_rules, queries
 from sparkloom.llm.common import written
 
-from .test_operators import brute_components, words
+from .test_operators import PROSE, brute_components, words
 
 
 def test_stages(spark, sf_dir):
@@ -38,3 +41,16 @@ def test_empty(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, sf_dir), "stage")
         assert docs.isEmpty()
+
+
+def test_near_copies_of_any_id(spark):
+    """Repeated rows, texts that share an id and null ids: one row of each group, against brute force."""
+    far, other = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    near = " ".join(f"c{i}" for i in range(60))
+    rows = [(1, PROSE), (1, PROSE), (None, PROSE), (2, far), (2, other), (None, "quite alone here"), (None, None), (3, far), (None, near), (None, near + " x"), (4, None), (5, "z"), (5, "z")]
+    groups = defaultdict(list)
+    for k, _, c in brute_components(list(enumerate(t for _, t in rows))):
+        groups[c].append(rows[k])
+    want = Counter(min(g, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest())) for g in groups.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, "").collect())) == want
