@@ -51,10 +51,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: a document stays if the mix takes any of its words, once for each epoch or part of one that takes it."""
-    plan = mixing.mix(docs).where("taken > 0").selectExpr("doc_id AS m_id", "cast(ceil(taken / size) AS int) AS times")
-    repeated = docs.join(plan, docs["doc_id"].eqNullSafe(plan["m_id"])).selectExpr(*[f"`{c}`" for c in docs.columns], "explode(sequence(1, times)) AS time")
-    return repeated.select(docs.columns)
+    """Mixing: a row stays if the mix takes any of its words, once for each epoch or part of one that takes it.
+
+    Rows are told apart by a row key, so repeated and null ids get no more copies than others.
+    """
+    rows = numbered(docs)
+    plan = mixing.mix(rows, row=ROW).where("taken > 0").selectExpr(ROW, "cast(ceil(taken / size) AS int) AS _p_times")
+    return plain(rows.join(plan, ROW).withColumn("_p_time", F.explode(F.sequence(F.lit(1), "_p_times"))), docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,13 +20,14 @@ RANGE_ROWS = 4096
 KEY_BITS = 60
 
 
-def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(id, source, size, rnd): word counts and hash-random keys of all rows."""
+def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", row: str | None = None) -> DataFrame:
+    """(id, source, size, rnd, and row if given): word counts and hash-random keys of all rows."""
     rnd = F.conv(F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))), 1, KEY_BITS // 4), 16, 10)
     return docs.select(
         F.col(key).alias("id"), F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         rnd.cast("long").alias("rnd"),
+        *([F.col(row).alias("row")] if row else []),
     )
 
 
@@ -59,17 +60,18 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3)
     return s.select("source", "source_size", "n_rows", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(key, size, source_size, target, taken), one row for each row of ``docs``.
+def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, key: str = "doc_id", source: str = "source", text: str = "text", row: str | None = None) -> DataFrame:
+    """(key, size, source_size, target, taken, and row if given), one row for each row of ``docs``.
 
     ``taken`` is the number of words the mix takes of the document, repeats counted: whole epochs, and the part of
     the last epoch that lies before the source's budget (its target, rounded). Null texts and texts without words
     have size 0 and nothing taken. A null source is a source of its own, last in order. Equal keys are ordered by
-    id and size; equal rows share a place in the order, one before the other. An empty table gives an empty result.
+    id and size; equal rows share a place in the order, one before the other. ``row`` names a column of unique row keys,
+    by which the result can be joined to ``docs``: ``key`` need not be unique. An empty table gives an empty result.
     Other columns aren't read. Ranges of keys, not sources, are the unit of work: a source with a third of all rows
     is as many ranges as its rows need.
     """
-    d = written(sized(docs, key, source, text), "sizes")
+    d = written(sized(docs, key, source, text, row), "sizes")
     t = written(targets(d, weights, most), "targets")
     n_sources = t.count()
     t = t.withColumn("ranges", F.greatest(F.lit(1), F.ceil(F.col("n_rows") / RANGE_ROWS)).cast("long"))
@@ -79,11 +81,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, key:
     sums = d.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("ahead", F.coalesce(F.sum("part_size").over(ahead), F.lit(0))).select(F.col("source").alias("s"), F.col("part").alias("p"), "ahead")
-    within = Window.partitionBy("source", "part").orderBy("rnd", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "part").orderBy("rnd", "id", "size", *(["row"] if row else [])).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     d = d.join(sums, d["source"].eqNullSafe(sums["s"]) & (d["part"] == sums["p"]))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("ahead") - F.col("within")))
-    return d.select(F.col("id").alias(key), "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+    return d.select(F.col("id").alias(key), "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"), *([F.col("row").alias(row)] if row else []))

@@ -54,3 +54,20 @@ def test_near_copies_of_any_id(spark):
     want = Counter(min(g, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest())) for g in groups.values())
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert Counter(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, "").collect())) == want
+
+
+def test_mixed_copies_of_any_id(spark):
+    """Copies of each row with repeated and null ids: a small source comes in three epochs, a large one is cut at its budget."""
+    few = [(1, "u v", "a"), (1, "u v", "a"), (None, "w x y", "a"), (2, "p", "a"), (2, "q r", "a")]
+    many = [(k, " ".join(f"t{i}" for i in range(i % 7 + 1)), "b") for i in range(200) for k in (None if i % 3 == 0 else i // 4,)]
+    docs = spark.createDataFrame([*few, *many, (None, None, "a"), (7, "", "b")], "doc_id long, text string, source string").repartition(3)
+    out = list(map(tuple, corpus_pipeline.mix_sources(spark, docs, "").collect()))
+    assert Counter(r for r in out if r[2] == "a") == Counter(few * 3)
+    place = lambda r: (hashlib.md5(f"{'' if r[0] is None else r[0]}|{r[1]}".encode()).hexdigest()[:15], r[0] is not None, r[0] or 0)
+    size = {s: sum(len(words(r[1])) for r in rows) for s, rows in (("a", few), ("b", many))}
+    budget, want = size["b"] - 2 * size["a"], Counter()
+    for r in sorted(many, key=place):
+        if budget > 0:
+            want[r] += 1
+        budget -= len(words(r[1]))
+    assert Counter(r for r in out if r[2] == "b") == want
