@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import hashlib
+import re
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,33 +20,69 @@ from pyspark.sql import types as T
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of (id, ...) up to which a side may be broadcast: 2 million longs are about 32 MB as a hash relation.
-BROADCAST_ROWS = 2_000_000
+#: Bytes up to which a side may be broadcast, as a hash relation in every executor.
+BROADCAST_BYTES = 64 << 20
+#: Keys that may be called hot at most, and rows that a key has at least to be called so.
+HOT_KEYS, HOT_ROWS = 10_000, 256
+#: Removes a statement's shuffle files when it ends; what is written doesn't need them any more.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Names of written tables that are still there.
+_NAMES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession, what: str) -> str:
-    """A fresh path below the folder that driver and executors share (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder becomes the checkpoint folder.
+    Where that is unset, a session on one machine, as in tests, gets a temporary one; on a cluster it must be set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="sparkloom-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/sparkloom/{what}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def work_schema(spark: SparkSession) -> str:
+    """The schema of the work tables: it lies in the shared folder, so that dropping a table removes its files."""
+    place = f"{shared_folder(spark)}/sparkloom"
+    name = f"spark_catalog.sparkloom_{hashlib.md5(place.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{place}'")
+    return name
 
 
 def written(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts the lineage and survives lost executors."""
+    """``df`` written as a table in the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = work_dir(spark, what)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"{work_schema(spark)}.{what}_{uuid.uuid4().hex}"
+    was = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.format("parquet").option("compression", compression).saveAsTable(name)
+    finally:
+        spark.conf.set(CLEANUP, was)
+    out = spark.table(name)
+    _NAMES[out] = name
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Drops written tables that nothing reads any more, with their files."""
+    for t in tables:
+        if name := _NAMES.pop(t, None):
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Drops every written table of this shared folder, those that results still read included: for when all is done."""
+    spark.sql(f"DROP SCHEMA IF EXISTS {work_schema(spark)} CASCADE")
+    _NAMES.clear()
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
@@ -54,16 +92,27 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return plain.mapInArrow(lambda it: run(b.rename_columns(names) for b in it), schema)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove shuffle files that nothing refers to any more; otherwise they stay until the driver happens
-    to collect garbage, which may be after the job."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def small(df: DataFrame, rows: int, width: int = 32) -> DataFrame:
+    """Broadcasts a side of checked size, ``width`` bytes a row; a larger one is left to a shuffle join."""
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcasts a side of checked size; a larger one is left to a shuffle join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def salted_join(left: DataFrame, right: DataFrame, key: str, other: str, counts: DataFrame, spread: str, how: str = "inner") -> DataFrame:
+    """Joins ``left.key = right.other``, with the rows of hot keys of ``left`` spread over several tasks.
+
+    ``counts`` (key, m) tells how many rows of ``left`` a key has. Keys with more than one in HOT_KEYS of all rows get
+    as many salts as they hold such portions: rows of ``left`` are dealt by a hash of column ``spread``, those of ``right``,
+    few for each key, are copied to each salt. The list of hot keys has HOT_KEYS rows at most, and is broadcast.
+    """
+    total, most = counts.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    if most <= least:
+        return left.join(right, left[key] == right[other], how)
+    hot = F.broadcast(counts.where(F.col("m") > least).select(F.col(key).alias("_hot"), F.ceil(F.col("m") / least).cast("int").alias("_salts")))
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    a = left.join(hot, left[key] == hot["_hot"], "left").select(left["*"], F.pmod(F.xxhash64(F.lit(1), left[spread]), salts).cast("int").alias("_salt_a"))
+    b = right.join(hot, right[other] == hot["_hot"], "left").select(right["*"], F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt_b"))
+    return a.join(b, (a[key] == b[other]) & (a["_salt_a"] == b["_salt_b"]), how).drop("_salt_a", "_salt_b")
 
 
 #: Lower case for A-Z only, and the six white-space bytes.

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, batches, mix, release, small, text_bytes, word_hashes, written
+from .common import BASE, batches, discard, mix, salted_join, small, text_bytes, word_hashes, written
 
 WORDS = 5
 #: Documents of a token from which it is indexed in pairs.
@@ -36,6 +36,8 @@ SLACK = 8
 MAP = 4
 #: Members of a combination up to which all its pairs are compared in the second round.
 FEW = 12
+#: Members of a combination that one task compares with its pivots.
+CHUNK = 1024
 SET = "doc_id long, n long, sig binary, tokens array<long>"
 
 
@@ -107,15 +109,18 @@ def all_shared(n: Column) -> Column:
 def shared_tokens(nodes: DataFrame, name: str, least: Callable[[Column], Column]) -> DataFrame:
     """(node, n, sig, doc_id, tokens): nodes that may have a partner, with those of their tokens that other nodes have too.
 
-    ``tokens`` becomes an array of (df, token). Counting combines within each task first. The join back is an
-    ordinary equi-join on the token, in which Spark splits the partitions of tokens that very many nodes have.
+    ``tokens`` becomes an array of (df, token). Counting combines within each task first; the join back spreads the
+    rows of tokens that very many nodes have.
     """
     t = nodes.select("node", F.explode_outer("tokens").alias("token")).where("token IS NOT NULL")
-    df = t.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    hits = t.join(df, "token").groupBy("node").agg(F.collect_list(F.struct("df", "token")).alias("tokens"))
+    df = written(t.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select(F.col("token").alias("d_token"), "df"), "df")
+    counts = df.select(F.col("d_token").alias("token"), F.col("df").alias("m"))
+    hits = salted_join(t, df, "token", "d_token", counts, "node").groupBy("node").agg(F.collect_list(F.struct("df", "token")).alias("tokens"))
     sizes = nodes.select(F.col("node").alias("id"), "n", "sig", "doc_id")
     out = hits.join(sizes, F.col("node") == F.col("id")).where(F.size("tokens") >= least(F.col("n")))
-    return written(out.select("node", "n", "sig", "doc_id", "tokens"), name)
+    out = written(out.select("node", "n", "sig", "doc_id", "tokens"), name)
+    discard(df)
+    return out
 
 
 def plain(nodes: DataFrame) -> DataFrame:
@@ -175,26 +180,37 @@ def combinations(nodes: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, root): the smallest id reachable from each id of ``links`` (a, b). Labels spread and then jump."""
+    """(id, root): the smallest id reachable from each id of ``links`` (a, b). Labels spread and then jump.
+
+    Ids with very many links, and roots with very many ids, are spread over tasks.
+    """
     both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = both.select(F.col("a").alias("id")).distinct().withColumn("root", F.col("id"))
+    degrees = written(both.groupBy(F.col("b")).agg(F.count("*").alias("m")), "degrees")
     labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("root").alias("m"))
+        near = salted_join(both, labels, "b", "id", degrees, "a").groupBy("a").agg(F.min("root").alias("m"))
         step = labels.join(near, F.col("id") == F.col("a")).select("id", F.col("root").alias("was"), F.least("root", "m").alias("root"))
-        up = step.select(F.col("id").alias("up"), F.col("root").alias("up_root"))
-        step = step.join(up, F.col("root") == F.col("up"), "left").select("id", "was", F.least("root", F.coalesce("up_root", "root")).alias("root"))
         step = written(step, "labels")
-        if step.where("root <> was").isEmpty():
-            return step.select("id", "root")
-        labels = step.select("id", "root")
+        # Jump: a root that has a smaller root itself hands it on. Only such roots take part.
+        sizes = step.groupBy("root").agg(F.count("*").alias("m"))
+        up = step.where("root < id").select(F.col("id").alias("up"), F.col("root").alias("up_root"))
+        sizes = written(sizes.join(up, F.col("root") == F.col("up")).select("root", "m", "up_root"), "roots")
+        up = sizes.select(F.col("root").alias("up"), "up_root")
+        jumped = salted_join(step, up, "root", "up", sizes, "id", "left").select("id", "was", F.least("root", F.coalesce("up_root", "root")).alias("root"))
+        jumped = written(jumped, "labels")
+        discard(step, sizes, labels)
+        labels = jumped.select("id", "root")
+        if jumped.where("root <> was").isEmpty():
+            discard(both, degrees)
+            return labels
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets link."""
     left = sets.select(F.col("node").alias("ida"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("idb"), F.col("tokens").alias("tb"))
-    d = pairs.join(right, F.col("b") == F.col("idb")).join(left, F.col("a") == F.col("ida"))
+    d = salted_join(pairs, left, "a", "ida", pairs.groupBy("a").agg(F.count("*").alias("m")), "b")
+    d = salted_join(d, right, "b", "idb", pairs.groupBy("b").agg(F.count("*").alias("m")), "a")
     both = F.size(F.array_intersect("ta", "tb"))
     d = d.select("a", "b", both.alias("i"), (F.size("ta") + F.size("tb")).alias("total"))
     return d.where("100 * i >= 75 * (total - i)").select("a", "b")
@@ -211,28 +227,36 @@ def plausible(x: dict[str, Column], y: dict[str, Column]) -> Column:
 
 
 def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, root) for every node that has a link: groups of nodes, by rounds of comparisons with pivots."""
+    """(id, root) for every node that has a link: groups of nodes, by rounds of comparisons with pivots.
+
+    The members of a combination that very many nodes have are dealt in chunks, to each of which its pivots are copied.
+    """
     spark = combos.sparkSession
     facts = ["node", "n", "own", *(f"m{k}" for k in range(MAP))]
     members = combos.withColumn("root", F.col("node"))
     roots = spark.createDataFrame([], "id long, root long")
     checked = spark.createDataFrame([], "a long, b long")
-    pivots = 1
+    was, pivots = combos, 1
     while True:
         # What is open: combinations with members of different groups. One row for each combination.
         state = members.groupBy("combo").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi")
-        members = written(members.join(state.select(F.col("combo").alias("c"), "m"), F.col("combo") == F.col("c")).drop("c"), "members")
+        state = written(state.select(F.col("combo").alias("c"), "m"), "open")
+        new = salted_join(members, state, "combo", "c", state.select(F.col("c").alias("combo"), "m"), "node").drop("c")
+        members = written(new.withColumn("chunk", F.pmod(F.xxhash64(F.lit(2), "node"), F.ceil(F.col("m") / CHUNK)).cast("int")), "members")
+        discard(was, state)
+        was = members
         if members.isEmpty():
+            discard(members, checked)
             return roots
         few = members.where(F.col("m") <= FEW) if pivots > 1 else members.where("false")
         many = members.where(F.col("m") > FEW) if pivots > 1 else members
         # Pivots: in each combination, the smallest node of each of so many parts.
         part = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
-        chosen = many.groupBy("combo", part.alias("part")).agg(F.min(F.struct(*facts, "root")).alias("p"))
-        chosen = chosen.select("combo", "p").union(few.select("combo", F.struct(*facts, "root")))
-        p = chosen.select(F.col("combo").alias("c"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
+        chosen = many.groupBy("combo", part.alias("part")).agg(F.min(F.struct(*facts, "root")).alias("p"), F.first("m").alias("m"))
+        chosen = chosen.select("combo", "p", "m").union(few.select("combo", F.struct(*facts, "root"), "m"))
+        p = chosen.select(F.col("combo").alias("c"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / CHUNK).cast("int") - 1)).alias("k"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
         may = plausible({f: F.col(f) for f in facts}, {f: F.col(f"p_{f}") for f in facts})
-        pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("root") != F.col("p_root")) & may)
+        pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("chunk") == F.col("k")) & (F.col("root") != F.col("p_root")) & may)
         pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         links = verified(pairs, sets)
@@ -241,15 +265,21 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
             r = roots.select(F.col("id").alias("r_id"), F.col("root").alias("r_root"))
             links = links.join(r, F.col(end) == F.col("r_id"), "left").withColumn(end, F.coalesce("r_root", end)).drop("r_id", "r_root")
         links = written(links.where("a <> b").distinct(), "links")
-        checked = written(checked.union(pairs), "checked")
+        now = written(checked.union(pairs), "checked")
+        discard(checked, pairs)
+        checked = now
         if not links.isEmpty():
             new = components(links)
-            merged = roots.join(new.select(F.col("id").alias("o"), F.col("root").alias("to")), F.col("root") == F.col("o"), "left")
+            sizes = roots.groupBy("root").agg(F.count("*").alias("m"))
+            merged = salted_join(roots, new.select(F.col("id").alias("o"), F.col("root").alias("to")), "root", "o", sizes, "id", "left")
             merged = merged.select("id", F.coalesce("to", "root").alias("root"))
-            roots = written(merged.union(new.join(roots.select(F.col("id").alias("o")), F.col("id") == F.col("o"), "left_anti")), "roots")
+            now = written(merged.union(new.join(roots.select(F.col("id").alias("o")), F.col("id") == F.col("o"), "left_anti").select("id", "root")), "roots")
+            discard(roots, new)
+            roots = now
+        discard(links)
         # Pivots, and all of the combinations that were compared in full, are done.
-        done = p.select("c", "p_node")
-        members = many.join(done, (F.col("combo") == F.col("c")) & (F.col("node") == F.col("p_node")), "left_anti").drop("m", "root")
+        done = chosen.select(F.col("combo").alias("c"), F.col("p.node").alias("p_node"))
+        members = many.join(done, (F.col("combo") == F.col("c")) & (F.col("node") == F.col("p_node")), "left_anti").drop("m", "root", "chunk")
         r = roots.select(F.col("id").alias("r_id"), F.col("root").alias("r_root"))
         members = members.join(r, F.col("node") == F.col("r_id"), "left").select("combo", *facts, F.coalesce("r_root", "node").alias("root"))
         pivots *= 8
@@ -265,34 +295,45 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     hashes; no document, token or combination is capped.
     """
     d = written(shingle_sets(docs, False, key, text), "sets")
-    nodes = d.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    nodes = d.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("tokens").alias("tokens"))
     nodes = nodes.withColumn("node", node_key(F.col("doc_id"), F.col("sig")))
     nodes = written(nodes, "nodes")
-    alive = shared_tokens(nodes, "shared", least_shared)
-    alive = shared_tokens(plain(alive), "shared", least_shared)
+    once = shared_tokens(nodes, "shared", least_shared)
+    alive = shared_tokens(plain(once), "shared", least_shared)
+    discard(once)
     n_alive = alive.count()
     wanted = alive.select(F.col("doc_id").alias("w")).distinct()
     candidates = docs.join(small(wanted, n_alive), F.col(key).cast("long").eqNullSafe(F.col("w")), "left_semi")
     full = shingle_sets(candidates, True, key, text).select(F.col("sig").alias("s"), F.col("tokens").alias("all"))
-    full = full.join(small(alive.select("sig", "node", "n", "doc_id"), n_alive), F.col("s") == F.col("sig"))
+    full = full.join(small(alive.select("sig", "node", "n", "doc_id"), n_alive, 128), F.col("s") == F.col("sig"))
     full = full.groupBy("node", "n", "sig", "doc_id").agg(F.first("all").alias("tokens"))
     full = written(full, "full")
-    release(docs.sparkSession)
+    discard(alive)
     alive = shared_tokens(full, "shared", all_shared)
     left = alive.count()
     while True:  # each node that goes may leave others with too few shared tokens
-        alive = shared_tokens(plain(alive), "shared", all_shared)
+        once, alive = alive, shared_tokens(plain(alive), "shared", all_shared)
+        discard(once)
         before, left = left, alive.count()
         if left >= 0.9 * before:
             break
-    release(docs.sparkSession)
     sets = full.join(alive.select(F.col("node").alias("o")), F.col("node") == F.col("o"), "left_semi").select("node", "tokens")
-    roots = linked_groups(written(combinations(alive), "combos"), written(sets, "sets"))
+    sets = written(sets, "sets")
+    discard(full)
+    combos = written(combinations(alive), "combos")
+    discard(alive)
+    roots = linked_groups(combos, sets)
+    discard(sets)
     # From nodes to documents: the smallest key of each group
-    ids = nodes.select("node", "sig", F.col("doc_id").alias("first"))
+    ids = nodes.select("node", "sig", "copies", F.col("doc_id").alias("first"))
     r = roots.select(F.col("id").alias("r_id"), "root")
-    ids = ids.join(r, F.col("node") == F.col("r_id"), "left").select("sig", "first", F.coalesce("root", "node").alias("root"))
-    least = ids.groupBy("root").agg(F.min("first").alias("component"))
-    ids = ids.join(least.withColumnRenamed("root", "l"), F.col("root") == F.col("l")).select(F.col("sig").alias("s"), "component")
-    out = d.select("doc_id", "n", "sig").join(ids, F.col("sig") == F.col("s"), "left")
-    return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    ids = written(ids.join(r, F.col("node") == F.col("r_id"), "left").select("node", "sig", "copies", "first", F.coalesce("root", "node").alias("root")), "groups")
+    least = written(ids.groupBy("root").agg(F.min("first").alias("component"), F.count("*").alias("m")), "least")
+    ids = salted_join(ids, least.select(F.col("root").alias("l"), "component"), "root", "l", least, "node")
+    ids = written(ids.select(F.col("sig").alias("s"), "copies", "component"), "components")
+    discard(nodes, least)
+    # A document without shingles has no node
+    ids = ids.select("s", "copies", F.struct("component").alias("of"))
+    out = salted_join(d.select("doc_id", "n", "sig"), ids, "sig", "s", ids.select(F.col("s").alias("sig"), F.col("copies").alias("m")), "doc_id", "left")
+    component = F.when(F.col("of").isNotNull(), F.col("of.component")).otherwise(F.col("doc_id"))
+    return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
