@@ -16,6 +16,8 @@ from .common import WORD, small, written
 
 #: Mean rows of one key range of one source, over which one task keeps a running sum.
 RANGE_ROWS = 4096
+#: Ranges in a block of the prefix sums.
+BLOCK_RANGES = 4096
 #: Bits of a key: 15 hex digits of a digest.
 KEY_BITS = 60
 
@@ -79,8 +81,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, key:
     # Key order is range order: a range is an equal part of the key space.
     d = d.withColumn("part", F.floor(F.col("rnd").cast("double") / F.lit(float(1 << KEY_BITS)) * F.col("ranges")).cast("long"))
     sums = d.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
-    ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("ahead", F.coalesce(F.sum("part_size").over(ahead), F.lit(0))).select(F.col("source").alias("s"), F.col("part").alias("p"), "ahead")
+    # Prefix sums in two levels: over blocks of ranges, then over the ranges of a block, so that no task has all of a source's.
+    sums = written(sums.withColumn("block", F.floor(F.col("part") / BLOCK_RANGES)), "ranges")
+    earlier = Window.unboundedPreceding, -1
+    blocks = sums.groupBy("source", "block").agg(F.sum("part_size").alias("block_size"))
+    over_blocks = Window.partitionBy("source").orderBy("block").rowsBetween(*earlier)
+    blocks = blocks.select(F.col("source").alias("bs"), F.col("block").alias("b"), F.coalesce(F.sum("block_size").over(over_blocks), F.lit(0)).alias("blocks_ahead"))
+    over_ranges = Window.partitionBy("source", "block").orderBy("part").rowsBetween(*earlier)
+    sums = sums.withColumn("ahead", F.coalesce(F.sum("part_size").over(over_ranges), F.lit(0))).join(blocks, F.col("source").eqNullSafe(F.col("bs")) & (F.col("block") == F.col("b")))
+    sums = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), (F.col("ahead") + F.col("blocks_ahead")).alias("ahead"))
     within = Window.partitionBy("source", "part").orderBy("rnd", "id", "size", *(["row"] if row else [])).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     d = d.join(sums, d["source"].eqNullSafe(sums["s"]) & (d["part"] == sums["p"]))
