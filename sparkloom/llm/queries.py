@@ -76,13 +76,27 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Schemas of the tools that conversations may call.
 TOOLS = {
-    "search": {"type": "object", "required": ["query"], "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1}}, "additionalProperties": False},
+    "search": {"type": "object", "required": ["query"], "properties": {"query": {"type": "string", "maxLength": 2000}, "limit": {"type": "integer", "minimum": 1}}, "additionalProperties": False},
     "calculate": {"type": "object", "required": ["expression"], "properties": {"expression": {"type": "string"}}},
 }
 
 
+def as_tool_use(conversations: DataFrame) -> DataFrame:
+    """Every turn as a message of a chat with tools: what a user says is a call of a tool, with the turn as its limit,
+    what the assistant says next is that call's result, and other roles stay plain text. Identifiers repeat within a
+    conversation: there are four of them.
+    """
+    ident = lambda turn: F.concat(F.lit("call_"), F.floor(turn / 2) % 4)
+    call = F.to_json(F.struct(F.array(F.struct(
+        ident(F.col("turn")).alias("id"), F.lit("search").alias("name"), F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("query"), F.col("turn").alias("limit"))).alias("arguments"),
+    )).alias("tool_calls")))
+    result = F.to_json(F.struct(ident(F.col("turn") - 1).alias("tool_call_id"), F.coalesce("text", F.lit("")).alias("content")))
+    text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text"))
+    return conversations.withColumn("text", text).withColumn("role", F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role")))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_messages(table(spark, sf_dir, "conversations"), TOOLS)
+    return chat.format_messages(as_tool_use(table(spark, sf_dir, "conversations")), TOOLS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
