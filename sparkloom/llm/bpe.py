@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import heapq
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -25,8 +24,10 @@ from .common import batches, map_arrow, text_bytes, word_offsets
 
 #: Chunks that one worker remembers, and the longest chunk that it remembers: together some 200 MB.
 REMEMBERED, LONGEST = 800_000, 4096
-#: Symbols from which a piece is merged with a heap, as its rounds would each go over all of it.
+#: Symbols of a piece from which its rounds look only at blocks of pairs that hold the lowest rank.
 LONG_PIECE = 2048
+#: Neighbouring pairs in such a block.
+BLOCK = 256
 NO_RANK = np.int64(1) << 40
 
 
@@ -37,11 +38,30 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+#: fixed values: the parts of a tokenizer file on which cutting at white space and merging here rely
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLIT = {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+PLAIN = {"dropout": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def check_cuts(spec: dict) -> None:
+    """Refuses a tokenizer file whose texts can't be cut at ASCII white space and encoded apart."""
+    cuts = spec["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZER} and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]}
+    tokens = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or any(c.isspace() for c in t["content"])) for t in spec["added_tokens"])
+    if not cuts or not tokens:
+        raise ValueError("the tokenizer file's normalizer, pre-tokenizer or added tokens are not those that this operator knows")
+
+
 class Vocabulary:
     """Merge tables of a byte-level BPE vocabulary with word ends, from the JSON of its tokenizer file."""
 
     def __init__(self, text: str) -> None:
         spec = json.loads(text)
+        check_cuts(spec)
+        if spec["model"]["type"] != "BPE" or any(spec["model"].get(k) != v for k, v in PLAIN.items()) or spec["decoder"] is not None:
+            raise ValueError("the tokenizer file's model or decoder is not one that this operator knows")
         model, vocab = spec["model"], spec["model"]["vocab"]
         end = model.get("end_of_word_suffix") or ""
         symbols = byte_symbols()
@@ -55,8 +75,7 @@ class Vocabulary:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
         self.special_re = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
-        # fixed value: the piece pattern of the tokenizer file, with its white space spelled as the Unicode property
-        self.piece_re = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
+        self.piece_re = regex.compile(PIECES.replace(r"\s", r"\p{White_Space}"))
         names = {i: s for s, i in vocab.items()} | {i: s for s, i in special.items()}
         self.tokens = [names.get(i, "").encode() for i in range(max(names) + 1)]
 
@@ -102,32 +121,46 @@ class Vocabulary:
         flat, owner = np.concatenate(done_symbols), np.concatenate(done_words)
         return flat[np.argsort(owner, kind="stable")], out_lens
 
-    def merge_long(self, symbols: list[int]) -> list[int]:
-        """The same merges of one long word, with a heap of pairs in order of rank and place."""
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """The same rounds for one long word: the lowest rank of each block of places is kept, so that a round finds the
+        lowest of all among the blocks' and goes only over blocks that have it, and over the neighbours of what it merges.
+        """
         n = len(symbols)
-        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        a = np.array(symbols, np.int64)
-        heap = [(int(self.ranks[k]), i, symbols[i], symbols[i + 1], int(self.merged[k])) for i, k in enumerate(self.lookup(a[:-1], a[1:])) if k >= 0]
-        heapq.heapify(heap)
-        table = self.table
-        while heap:
-            _, i, x, y, new = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != x or j < 0 or symbols[j] != y:
-                continue
-            symbols[i], symbols[j] = new, -1
-            after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                if m := table.get((new, symbols[k])):
-                    heapq.heappush(heap, (m[0], i, new, symbols[k], m[1]))
-            if (h := before[i]) >= 0 and (m := table.get((symbols[h], new))):
-                heapq.heappush(heap, (m[0], h, symbols[h], new, m[1]))
-        return [s for s in symbols if s >= 0]
-
-    @functools.cached_property
-    def table(self) -> dict[tuple[int, int], tuple[int, int]]:
-        return {(int(k) >> 32, int(k) & 0xFFFFFFFF): (int(r), int(m)) for k, r, m in zip(self.keys, self.ranks, self.merged, strict=True)}
+        size = -(-n // BLOCK) * BLOCK
+        symbols = symbols.copy()
+        after, before = np.append(np.arange(1, n), -1), np.arange(-1, n - 1)  # -1: none
+        rank, merged = np.full(size, NO_RANK), np.zeros(size, np.int64)
+
+        def look(left: np.ndarray) -> None:
+            """Looks up the pairs that start at these places anew; places at the end have none."""
+            right = after[left]
+            at = np.where(right >= 0, self.lookup(symbols[left], symbols[right]), -1)
+            rank[left] = np.where(at >= 0, self.ranks[at], NO_RANK)
+            merged[left] = self.merged[at]
+
+        look(np.arange(n))
+        blocks = rank.reshape(-1, BLOCK)
+        lowest = blocks.min(axis=1)
+        while (low := lowest.min()) < NO_RANK:
+            at = np.flatnonzero(lowest == low)
+            row, place = np.nonzero(blocks[at] == low)
+            where = at[row] * BLOCK + place  # ascending
+            # Of overlapping hits (pairs of equal symbols in a row), the first, third, ... merge.
+            if len(where) > 1:
+                run = np.cumsum(np.append(True, after[where[:-1]] != where[1:]))
+                where = where[(np.arange(len(where)) - np.searchsorted(run, run)) % 2 == 0]
+            gone = after[where]
+            symbols[where] = merged[where]
+            symbols[gone], rank[gone] = -1, NO_RANK
+            after[where] = after[gone]
+            has = after[where] >= 0
+            before[after[where][has]] = where[has]
+            left = before[where]
+            touched = np.concatenate([where, left[left >= 0]])
+            look(touched)
+            stale = np.unique(np.concatenate([touched, gone]) // BLOCK)
+            lowest[stale] = blocks[stale].min(axis=1)
+        return symbols[symbols >= 0]
 
     def pieces(self, chunk: str) -> list[tuple[bytes, int]]:
         """Pieces of a chunk, each with -1 or, for a special token, its id."""
@@ -171,15 +204,15 @@ class Vocabulary:
         for i, special in given.items():
             flat[at[i]] = special
         if long:
-            flat = np.concatenate([np.array(long[i]) if i in long else flat[at[i] : at[i + 1]] for i in range(len(pieces))])
+            flat = np.concatenate([long[i] if i in long else flat[at[i] : at[i + 1]] for i in range(len(pieces))])
             for i, ids in long.items():
                 n[i] = len(ids)
             at = np.append(0, np.cumsum(n))
         return flat, np.diff(at[np.append(0, np.cumsum(counts))])
 
-    def symbols(self, piece: bytes) -> list[int]:
+    def symbols(self, piece: bytes) -> np.ndarray:
         raw = np.frombuffer(piece, np.uint8)
-        return [*self.inner[raw[:-1]].tolist(), int(self.final[raw[-1]])]
+        return np.append(self.inner[raw[:-1]], self.final[raw[-1]])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Tokens joined by a space, as the library joins them when a tokenizer has no decoder."""
