@@ -10,6 +10,7 @@ in document order; each block lists its documents and the tokens before it in it
 from __future__ import annotations
 
 import itertools
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -21,13 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import Encoder, read_vocabulary
+from .bpe import check_cuts, Encoder, read_vocabulary
 from .common import batches, small, text_bytes, written
 
 #: Bits of each level; together 32, so that any unsigned 32-bit id can be written.
 WIDTHS = (10, 6, 16)
 #: Flags that one entry of the directory covers.
 SPAN = 512
+#: Tokens in a span, by which places find their blocks.
+SPAN_TOKENS = 1 << 18
 MAGIC = b"DAC1"
 BLOCK = "shard int, first long, doc_ids array<long>, counts array<long>, payload binary"
 
@@ -113,9 +116,12 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def library_encoder(text: str) -> Encoder:
-    """Encodes chunks with the tokenizers library; no token spans white space, so chunks may be encoded apart."""
+    """Encodes chunks with the tokenizers library; ``check_cuts`` sees to it that they may be encoded apart."""
     if text not in _ENCODERS:
+        check_cuts(json.loads(text))
         tokenizer = Tokenizer.from_str(text)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
 
         def chunk_ids(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             ids = [tokenizer.encode(c.decode(), add_special_tokens=False).ids for c in new]
@@ -131,8 +137,9 @@ def write(docs: DataFrame, path: str, end_id: int = 1, key: str = "doc_id", text
     """Encodes all texts, each with ``end_id`` after it, and writes blocks in ascending key order; returns the table.
 
     A shard is a range of keys (nulls first), and lists its blocks by ``first``, the tokens before them in the shard.
-    Null and empty texts are the end id alone. Rows with equal keys are all written, ordered by text. An empty table
-    makes an empty one. A block holds whole documents of about 2 MB of text, so a very long text is a block.
+    Null and empty texts are the end id alone. Rows with equal keys are all written, ordered by the MD5 of their texts,
+    and may be in several shards. An empty table makes an empty one. A block holds whole documents of about 2 MB of
+    text, so a very long text is a block. Other columns, whatever their names, aren't read.
     """
     shared = read_vocabulary(docs, path)
 
@@ -152,7 +159,8 @@ def write(docs: DataFrame, path: str, end_id: int = 1, key: str = "doc_id", text
             )
             first += len(ids)
 
-    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k").sortWithinPartitions("k", "t")
+    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).withColumn("h", F.md5(F.coalesce("t", F.lit(""))))
+    ordered = ordered.repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "t")
     return written(ordered.mapInArrow(run, BLOCK), "tokens", "uncompressed")
 
 
@@ -163,6 +171,31 @@ def starts(blocks: DataFrame) -> DataFrame:
     return sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
 
 
+def tokens_at(blocks: DataFrame, positions: DataFrame, position: str = "position") -> DataFrame:
+    """(position, token) for each row of ``positions``: single tokens by their place in the whole corpus, without decoding blocks.
+
+    A place finds its block by an equi-join on spans of SPAN_TOKENS tokens, of which a block touches a few; within it
+    only the bytes that hold the token and its directory entries are looked at. Negative and null places, and those
+    behind the last token, have no row. Repeated places each give one. Other columns aren't read.
+    """
+    n = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
+    at = starts(blocks)
+    placed = blocks.join(small(at, at.count()), "shard").select((F.col("shard_start") + F.col("first")).alias("start"), n.alias("n"), "payload")
+    spans = F.sequence(F.floor(F.col("start") / SPAN_TOKENS), F.floor((F.col("start") + F.col("n") - 1) / SPAN_TOKENS))
+    want = positions.select(F.col(position).cast("long").alias("i")).withColumn("span", F.floor(F.col("i") / SPAN_TOKENS))
+    # Places first go to the start of their block, so that each block's payload moves once, to all of its places.
+    heads = placed.select("start", "n", F.explode(spans).alias("s"))
+    want = want.join(heads, (F.col("span") == F.col("s")) & (F.col("i") >= F.col("start")) & (F.col("i") < F.col("start") + F.col("n"))).select("i", F.col("start").alias("of"))
+    hits = want.join(placed.select("start", "payload"), F.col("of") == F.col("start")).select((F.col("i") - F.col("start")).alias("place"), "i", "payload")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            found = [Block(p)[i] for i, p in zip(b.column("place").to_pylist(), b.column("payload").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(found, pa.int64())], names=["position", "token"])
+
+    return hits.mapInArrow(run, "position long, token long").withColumnRenamed("position", position)
+
+
 def read(blocks: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from its block's codes."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
