@@ -13,11 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import map_arrow, mix, powers
+from .common import map_arrow, mix, powers, written
 
 K, L, M = 8, 2, 64
 #: Hex digits of an entry.
@@ -26,8 +28,8 @@ DIGITS = 4
 ORDERS = np.random.Generator(np.random.PCG64(1729)).integers(1, 2**63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Numbers that one array of hash values holds at most, unless a single text has more k-mers.
 ROOM = 1 << 19
-#: Ranges of keys at most.
-RANGES = 1024
+#: What one document and the one after it give; and for the documents at both ends of a partition, their texts.
+PAIR = "k long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def kmer_hashes(text: str, k: int = K) -> np.ndarray:
@@ -115,65 +117,65 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(M - 1)), F.lit(0), same) / F.lit(float(M))
 
 
-def _range_of(x: Column, bounds: list, at: int) -> Column:
-    """Number of ``bounds`` that are above x, as a balanced tree of comparisons; ``bounds`` descend."""
-    if not bounds:
-        return F.lit(at)
-    mid = len(bounds) // 2
-    return F.when(x < F.lit(bounds[mid]), _range_of(x, bounds[mid + 1 :], at + mid + 1)).otherwise(_range_of(x, bounds[:mid], at))
+Doc = tuple[int | None, str, np.ndarray]
+
+
+def pair(a: Doc, b: Doc) -> tuple:
+    """The facts of PAIR of a document and the one after it."""
+    (k, t, sig), (_, t2, sig2) = a, b
+    half = len(t) // 2
+    edited = t[: len(t) - half] + t2[:half]
+    e = sig if edited == t else signature(edited)
+    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
+    return k, len(t), sha, as_text(sig), as_text(e), float((sig == e).mean()), float((sig == sig2).mean())
+
+
+def record_batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    kinds = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every document.
 
     The edited text has its last floor(n/2) code points replaced by the first as many (or all) of the next document,
-    in descending order of keys (null last, equal keys by text); the last is followed by the first. A single document
-    follows itself. Null texts are empty. Repeated rows stand next to each other. An empty table gives an empty result.
+    in descending order of keys (null last, equal keys by the texts' MD5); the last is followed by the first. A single
+    document follows itself. Null texts are empty, texts of any length are read whole. Repeated rows stand next to each
+    other. An empty table gives an empty result; other columns, whatever their names, aren't read.
 
-    Keys are split into ranges at their quantiles, and each range is sorted in a task of its own. What crosses a
-    range's end is one document: the first of each range is also sent to the range before it. Texts move once.
+    Documents are sorted in as many ranges as the session has shuffle partitions, and equal keys may be in several.
+    Texts move once: a task pairs the documents of its range, and writes the texts at both of its ends beside the
+    results. The last document of each range then meets the first one of the next range.
     """
     spark = docs.sparkSession
-    d = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    n = min(RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = d.agg(F.percentile_approx("k", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    bounds = sorted(set(cuts), reverse=True)
-    d = d.withColumn("part", F.coalesce(F.when(F.col("k").isNotNull(), _range_of(F.col("k"), bounds, 0)), F.lit(len(bounds))))
-    firsts = d.groupBy("part").agg(F.max("k").alias("k")).orderBy("part").collect()  # a row for each range
-    before = [(r.k, firsts[i - 1].part) for i, r in enumerate(firsts)]
-    ghosts = spark.createDataFrame(before, "g long, before int")
-    d = d.join(F.broadcast(ghosts), F.col("k").eqNullSafe(F.col("g")), "left")
-    to = F.filter(F.array(F.struct("part", F.lit(False).alias("ghost")), F.struct(F.col("before").alias("part"), F.lit(True).alias("ghost"))), lambda x: x["part"].isNotNull())
-    d = d.select("k", "t", F.explode_outer(to).alias("to")).select("k", "t", "to.part", "to.ghost")
-    d = d.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "ghost", F.col("k").desc_nulls_last(), "t")
-    schema = "k long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    d = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("h", F.md5("t"))
+    order = [F.col("k").desc_nulls_last(), F.col("h")]
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order).select("k", "t")
+    kind = T.StructType.fromDDL(PAIR + ", part int, edge string, text string")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, out = None, []
-
-        def row(k: int, t: str, sig: np.ndarray, t2: str, sig2: np.ndarray) -> tuple:
-            half = len(t) // 2
-            edited = t[: len(t) - half] + t2[:half]
-            e = sig if edited == t else signature(edited)
-            sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-            return k, len(t), sha, as_text(sig), as_text(e), float((sig == e).mean()), float((sig == sig2).mean())
-
-        def flush() -> pa.RecordBatch:
-            cols = list(zip(*out, strict=True))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            b = pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types, strict=True)], names=["k", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-            out.clear()
-            return b
-
+        part, held, nothing = TaskContext.get().partitionId(), None, (None,) * 7
         for b in it:
-            for k, t, ghost in zip(b.column("k").to_pylist(), b.column("t").to_pylist(), b.column("ghost").to_pylist(), strict=True):
-                if held is None and ghost:
-                    continue
+            out = []
+            for k, t in zip(b.column("k").to_pylist(), b.column("t").to_pylist(), strict=True):
                 sig = held[2] if held and held[1] == t else signature(t)
-                if held:
-                    out.append(row(*held, t, sig))
-                held = None if ghost else (k, t, sig)
+                out.append((*pair(held, (k, t, sig)), part, None, None) if held else (k, *nothing[1:], part, "first", t))
+                held = k, t, sig
             if out:
-                yield flush()
+                yield record_batch(out, kind)
+        if held:
+            yield record_batch([(held[0], *nothing[1:], part, "last", held[1])], kind)
+
+    got = written(d.mapInArrow(run, kind), "pairs")
+    first, last = (got.where(F.col("edge") == e).select("k", "text", "part") for e in ("first", "last"))
+    along, whole = Window.orderBy("part"), Window.partitionBy(F.lit(0))  # these windows have one row for each range
+    after = first.select("part", F.coalesce(F.lead("part").over(along), F.min("part").over(whole)).alias("next"))
+    ends = last.join(after, "part").join(first.select(F.col("part").alias("next"), F.col("text").alias("next_text")), "next").select("k", "text", "next_text")
+    result = T.StructType.fromDDL(PAIR)
+
+    def close(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            if b.num_rows:
+                yield record_batch([pair((k, t, signature(t)), (None, t2, signature(t2))) for k, t, t2 in zip(*(c.to_pylist() for c in b.columns), strict=True)], result)
 
-    return d.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return got.where("edge IS NULL").select(*result.names).union(ends.mapInArrow(close, result)).withColumnRenamed("k", key)
