@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe, mixing, ngram_join, quality_model, quality_rules
-from sparkloom.llm.common import table, work_dir, written
+from sparkloom.llm.common import discard, table, written
 from sparkloom.llm.queries import TOKENIZER, ratings, tokenizer_path, trusted_labels
 
 #: Column of row keys, unique whatever ids the documents have.
@@ -79,7 +79,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = work_dir(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        out = written(stage(spark, docs, sf_dir), name.replace(" ", "_").replace("-", "_"))
+        discard(docs)
+        docs = out
     return docs
