@@ -23,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes up to which a side may be broadcast, as a hash relation in every executor.
 BROADCAST_BYTES = 64 << 20
 #: Keys that may be called hot at most, and rows that a key has at least to be called so.
-HOT_KEYS, HOT_ROWS = 10_000, 256
+HOT_KEYS, HOT_ROWS = 1000, 256
 #: Removes a statement's shuffle files when it ends; what is written doesn't need them any more.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Names of written tables that are still there.

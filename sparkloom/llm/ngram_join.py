@@ -257,8 +257,10 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
         p = chosen.select(F.col("combo").alias("c"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / CHUNK).cast("int") - 1)).alias("k"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
         may = plausible({f: F.col(f) for f in facts}, {f: F.col(f"p_{f}") for f in facts})
         pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("chunk") == F.col("k")) & (F.col("root") != F.col("p_root")) & may)
-        pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
+        # Each pair once, without those compared before: one aggregate, in which repeats meet before they are moved.
+        pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.lit(0).alias("old"))
+        pairs = pairs.union(checked.withColumn("old", F.lit(1))).groupBy("a", "b").agg(F.max("old").alias("old"))
+        pairs = written(pairs.where("old = 0").select("a", "b"), "pairs")
         links = verified(pairs, sets)
         # Links between groups, as links of their roots
         for end in ("a", "b"):
