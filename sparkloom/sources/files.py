@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparkloom.work import written
+
 
 def parquet(spark: SparkSession, *paths: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(*paths)
@@ -40,15 +42,18 @@ def series(spark: SparkSession, start: int, stop: int, step: int = 1, name: str
 
 
 def with_ordinal(df: DataFrame, *order: str, name: str = "rowid") -> DataFrame:
-    """A row number from 0 in a given order: counts per sorted partition, then offsets; no single-task window."""
-    s = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() % (1 << 33))
-    counts = s.groupBy("_part").agg(F.count("*").alias("n")).collect()  # a row for each partition
-    at, offsets = 0, []
-    for r in sorted(counts, key=lambda r: r["_part"]):
-        offsets.append((r["_part"], at))
-        at += r["n"]
-    o = df.sparkSession.createDataFrame(offsets, "_p int, _at long")
-    return s.join(F.broadcast(o), F.col("_part") == F.col("_p")).withColumn(name, F.col("_i") + F.col("_at")).drop("_part", "_i", "_p", "_at")
+    """A row number from 0 in a given order, nulls first; rows that are equal in ``order`` may take each other's numbers.
+
+    The sorted partitions are written once with each row's place, so that counts and rows come from the same run of the
+    sort; offsets are sums over one row for each partition. No task ever has all rows.
+    """
+    s = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.struct(F.spark_partition_id().alias("part"), (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("i"))
+    s = written(s.withColumn("_place", place), "sorted")
+    counts = s.groupBy(F.col("_place.part").alias("_p")).agg(F.count("*").alias("_n"))
+    ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    return s.join(F.broadcast(offsets), F.col("_place.part") == F.col("_p")).withColumn(name, F.col("_place.i") + F.col("_ahead")).drop("_place", "_p", "_ahead")
 
 
 def write(df: DataFrame, path: str, kind: str = "parquet", mode: str = "errorifexists", by: tuple[str, ...] = ()) -> None:
