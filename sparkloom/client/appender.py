@@ -27,7 +27,8 @@ class Constraints:
     defaults: dict[str, str] = field(default_factory=dict)
     generated: dict[str, str] = field(default_factory=dict)
 
-    def check(self, spark: SparkSession, table: str, rows: DataFrame) -> None:
+    def check(self, spark: SparkSession, table: str, rows: DataFrame, among: DataFrame | None = None) -> None:
+        """Checks new rows of a table; with ``among``, rows that are to be part of these, which replace the table's."""
         for c in self.not_null:
             if not rows.where(F.col(c).isNull()).isEmpty():
                 raise ConstraintError(f"{table}.{c} is null")
@@ -36,10 +37,11 @@ class Constraints:
                 raise ConstraintError(f"{table}: {c}")
         for key in self.unique:
             known = [F.col(c).isNotNull() for c in key]
-            new = rows.select(*key)
+            new = (rows if among is None else among).select(*key)
             for k in known:
                 new = new.where(k)
-            if not new.groupBy(*key).count().where("count > 1").isEmpty() or not new.join(spark.table(table).select(*key), list(key), "left_semi").isEmpty():
+            twice = not new.groupBy(*key).count().where("count > 1").isEmpty()
+            if twice or among is None and not new.join(spark.table(table).select(*key), list(key), "left_semi").isEmpty():
                 raise ConstraintError(f"{table}: {', '.join(key)} repeats")
         for key, parent, of in self.foreign:
             new = rows.select(*[F.col(c).alias(o) for c, o in zip(key, of, strict=True)]).na.drop()
@@ -58,9 +60,7 @@ class Appender:
         self.spark, self.table, self.buffer = spark, table, buffer
         self.constraints = constraints or Constraints()
         self.all: StructType = spark.table(table).schema
-        self.columns = list(columns) if columns else [f.name for f in self.all if f.name not in self.constraints.generated]
-        if unknown := set(self.columns) - set(self.all.names):
-            raise ValueError(f"{table} has no column {sorted(unknown)}")
+        self.columns, self.chosen = self._known(columns), bool(columns)
         self.rows: list[tuple] = []
 
     def append_row(self, *values: Any) -> None:  # noqa: ANN401
@@ -79,9 +79,23 @@ class Appender:
         self._append(self.spark.createDataFrame(pa.Table.from_batches([batch])))
 
     def set_columns(self, columns: Sequence[str] | None) -> None:
-        """Other columns from now on; rows so far are flushed first."""
+        """Other columns from now on, all but generated ones for None; rows so far are flushed first."""
         self.flush()
-        self.columns = list(columns) if columns else self.all.names
+        self.columns = self._known(columns)
+
+    def add_column(self, column: str) -> None:
+        """One more column from now on; the first one after ``clear_columns`` is the only one."""
+        self.set_columns([*(self.columns if self.chosen else []), column])
+        self.chosen = True
+
+    def clear_columns(self) -> None:
+        self.set_columns(None)
+        self.chosen = False
+
+    def _known(self, columns: Sequence[str] | None) -> list[str]:
+        if unknown := set(columns or ()) - set(self.all.names):
+            raise ValueError(f"{self.table} has no column {sorted(unknown)}")
+        return list(columns) if columns else [f.name for f in self.all if f.name not in self.constraints.generated]
 
     def flush(self) -> None:
         if self.rows:
@@ -89,13 +103,17 @@ class Appender:
             self._append(self.spark.createDataFrame(self.rows, schema, verifySchema=True))
             self.rows.clear()
 
-    def _append(self, df: DataFrame) -> None:
+    def completed(self, df: DataFrame) -> DataFrame:
+        """Rows of some columns with the defaults of the others, or null, and the generated columns, in the table's order."""
         c = self.constraints
         given = set(df.columns)
         full = df.select("*", *[F.expr(c.defaults[f.name] if f.name in c.defaults else "null").alias(f.name) for f in self.all if f.name not in given and f.name not in c.generated])
         full = full.withColumns({k: F.expr(v) for k, v in c.generated.items()})
-        full = full.select(*[F.col(f.name).cast(f.dataType) for f in self.all])
-        c.check(self.spark, self.table, full)
+        return full.select(*[F.col(f.name).cast(f.dataType) for f in self.all])
+
+    def _append(self, df: DataFrame) -> None:
+        full = self.completed(df)
+        self.constraints.check(self.spark, self.table, full)
         full.write.insertInto(self.table)  # in the order of the table's columns
 
     def __enter__(self) -> Appender:

@@ -50,16 +50,29 @@ def aggregate(f: Callable[[pd.Series], Any], returns: str | DataType) -> Callabl
     return F.pandas_udf(f, returns, F.PandasUDFType.GROUPED_AGG)
 
 
-@udtf(returnType="n bigint, sqrt_n double, label string, divisors array<bigint>, is_even boolean, parity string")
-class Numbers:
-    """numbers(n): the whole numbers from 1 to n with a few facts; labels of multiples of three are null."""
+@udtf(returnType="chunk int, first bigint, size bigint")
+class Chunks:
+    """chunks(n, size): the places 0..n-1 in chunks of ``size``, the last one shorter; for n of each row with LATERAL.
 
-    def eval(self, n: int) -> Iterator[tuple]:
-        for i in range(1, n + 1):
-            yield i, i**0.5, None if i % 3 == 0 else f"n{i}", [d for d in range(1, i + 1) if i % d == 0], i % 2 == 0, "even" if i % 2 == 0 else "odd"
+    Arguments may be named (``n => 10, size => 4``). Null arguments give no rows; a size below 1 raises.
+    """
+
+    def eval(self, n: int, size: int) -> Iterator[tuple]:
+        if n is None or size is None:
+            return
+        for i, first in enumerate(range(0, n, size)):
+            yield i, first, min(size, n - first)
 
 
 def register(spark: SparkSession) -> None:
     """The package's own functions, as an extension's entry point would."""
-    spark.udtf.register("numbers", Numbers)
-    scalar(spark, "add_one", lambda x: x + 1, "bigint")
+    spark.udtf.register("chunks", Chunks)
+    scalar(spark, "digit_sum", digit_sum, "bigint")
+
+
+def digit_sum(x: pd.Series) -> pd.Series:
+    """Sum of the decimal digits of whole numbers."""
+    left, out = x.abs(), x * 0
+    while (left > 0).any():
+        out, left = out + left % 10, left // 10
+    return out

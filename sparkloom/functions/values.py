@@ -52,3 +52,31 @@ def interval(months: Column, days: Column, micros: Column) -> Column:
 
 def plus_interval(ts: Column, iv: Column) -> Column:
     return ts + F.make_interval(F.lit(0), iv["months"], F.lit(0), iv["days"], F.lit(0), F.lit(0), iv["micros"] / 1e6)
+
+
+#: fixed values: SQL names of types whose Spark names differ
+TYPE_NAMES = {"string": "VARCHAR", "int": "INTEGER", "float": "FLOAT", "binary": "BLOB", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_name(x: Column) -> Column:
+    """The SQL name of a value's type; lists are written as their element's name and brackets."""
+    t, n = F.typeof(x), F.regexp_count(F.typeof(x), F.lit("array<"))
+    inner = F.regexp_replace(t, "array<|>+$", "")
+    plain = F.upper(inner)
+    for spark, name in TYPE_NAMES.items():
+        plain = F.when(inner == spark, name).otherwise(plain)
+    return F.concat(plain, F.repeat(F.lit("[]"), n))
+
+
+def to_uuid(x: Column) -> Column:
+    """A UUID as canonical text, from 32 hex digits with or without hyphens; other texts raise. Text order is UUID order."""
+    digits = F.lower(F.replace(x, F.lit("-"), F.lit("")))
+    ok = digits.rlike("^[0-9a-f]{32}$")
+    text = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.when(x.isNull() | ok, text).otherwise(F.raise_error(F.concat(F.lit("no UUID: "), x)))
+
+
+def enum_code(x: Column, labels: list[str]) -> Column:
+    """A label's place from 0, which orders labels as they were declared; an unknown label raises."""
+    at = F.array_position(F.array(*map(F.lit, labels)), x).cast("int") - 1
+    return F.when(x.isNull() | (at >= 0), at).otherwise(F.raise_error(F.concat(F.lit("no such label: "), x)))

@@ -42,3 +42,14 @@ def in_range(points: DataFrame, at: Column, spans: DataFrame, start: Column, end
     for a, b in on:
         cond &= p[a] == s[b]
     return p.join(s, cond).drop("_at", "_b", "_from", "_to", "_sb")
+
+
+#: Strategies by the name of Spark's hint.
+STRATEGIES = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
+
+
+def hinted(left: DataFrame, right: DataFrame, on: list[str] | Column, strategy: str, how: str = "inner") -> DataFrame:
+    """A join whose right side carries a strategy hint; without one, sizes at run time decide, which is the better default."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"no such strategy: {strategy}")
+    return left.join(right.hint(strategy), on, how)

@@ -30,8 +30,26 @@ def distinct_on(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     return top_k(df, by, order, 1)
 
 
-def days_filled(df: DataFrame, day: str, value: str) -> DataFrame:
-    """One row for each day from the first to the last; days without a row have 0."""
-    span = df.agg(F.min(day).alias("a"), F.max(day).alias("b"))
-    days = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias(day))
-    return days.join(df, day, "left").withColumn(value, F.coalesce(value, F.lit(0)))
+def qualify(df: DataFrame, value: Column, keep) -> DataFrame:  # noqa: ANN001
+    """Rows for which ``keep`` holds of a window function's value."""
+    return df.withColumn("_value", value).where(keep(F.col("_value"))).drop("_value")
+
+
+def days_filled(df: DataFrame, day: str, value: str, by: list[str] = ()) -> DataFrame:
+    """For each group a row for each day from its first to its last; days without a row have 0. No join: each row is
+    followed by the days up to the group's next one."""
+    w = Window.partitionBy(*by).orderBy(day)
+    after = F.coalesce(F.date_sub(F.lead(day).over(w), 1), F.col(day))
+    d = df.withColumn("_days", F.sequence(F.col(day), after)).withColumn("_day", F.explode("_days"))
+    return d.withColumn(value, F.when(F.col("_day") == F.col(day), F.col(value)).otherwise(0)).withColumn(day, F.col("_day")).drop("_days", "_day")
+
+
+def sampled(df: DataFrame, percent: float, *key: str) -> DataFrame:
+    """A share of the rows by a hash of their key: the same rows in every run, whatever the partitions."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", *key)), 1, 8), 16, 10).cast("long")
+    return df.where(h < F.lit(int(percent / 100 * (1 << 32))))
+
+
+def first_percent(df: DataFrame, order: list[Column], percent: float) -> DataFrame:
+    """The first ``percent`` of all rows in an order, rounded down."""
+    return df.orderBy(*order).limit(int(df.count() * percent / 100))

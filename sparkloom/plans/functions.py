@@ -12,7 +12,9 @@ from .registry import Tables, query, sql
 sql("str_basic", """SELECT p_partkey, upper(p_name) AS u, lower(p_brand) AS l, length(p_name) AS n, trim(concat('  ', p_type, ' ')) AS t, substring(p_name, 2, 4) AS s, replace(p_type, ' ', '_') AS r,
  lpad(p_brand, 12, '*') AS lp, rpad(p_brand, 12, '-') AS rp, reverse(p_brand) AS rv, repeat(left(p_brand, 2), 2) AS rep, right(p_brand, 2) AS rt, instr(p_name, 'a') AS i, translate(p_brand, 'abc', 'xyz') AS tr,
  concat_ws('/', p_brand, p_type) AS cw, ascii(p_name) AS a, chr(65 + p_size % 26) AS c, split_part(p_type, ' ', 1) AS sp, contains(p_name, 'e') AS ct FROM part""")
-sql("str_unicode", "SELECT doc_id, length(text) AS n, upper(translate(substring(text, 1, 20), 'ß', 'ẞ')) AS u, octet_length(encode(text, 'utf-8')) AS b, md5(text) AS m FROM documents", "SELECT doc_id, length(text) AS n, upper(substring(text, 1, 20)) AS u, octet_length(encode(text)) AS b, md5(text) AS m FROM documents")
+#: Both engines' capitals differ for these letters only, which are mapped first.
+sql("str_unicode", "SELECT doc_id, length(text) AS n, md5(upper(translate(text, 'ß', 'ẞ'))) AS u, md5(lower(text)) AS l, octet_length(encode(text, 'utf-8')) AS b, md5(text) AS m FROM documents",
+    "SELECT doc_id, length(text) AS n, md5(upper(text)) AS u, md5(lower(text)) AS l, octet_length(encode(text)) AS b, md5(text) AS m FROM documents")
 sql("str_regex", "SELECT p_partkey, regexp_extract(p_type, '([A-Za-z]+)', 1) AS a, regexp_replace(p_name, '[aeiou]', '') AS b, p_name RLIKE '^[a-m]' AS c, p_name ILIKE '%E%' AS d FROM part",
     "SELECT p_partkey, regexp_extract(p_type, '([A-Za-z]+)', 1) AS a, regexp_replace(p_name, '[aeiou]', '', 'g') AS b, regexp_matches(p_name, '^[a-m]') AS c, p_name ILIKE '%E%' AS d FROM part")
 sql("str_similar", "SELECT a.n_name AS x, b.n_name AS y, levenshtein(a.n_name, b.n_name) AS d FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey")
@@ -71,5 +73,5 @@ sql("array_more", """SELECT n_nationkey, array_join(array_distinct(array(n_regio
 sql("explode_rows", "SELECT n_nationkey, x FROM nation LATERAL VIEW explode(sequence(0, n_regionkey)) v AS x", "SELECT n_nationkey, unnest(range(0, n_regionkey + 1))::INT AS x FROM nation")
 sql("map_struct_funcs", "SELECT event_id, map_from_arrays(array('a', 'b'), array(user_id, event_id))['b'] AS mb, named_struct('x', value, 'y', event_type).y AS y, size(map_keys(map('k', 1, 'l', 2))) AS n FROM events",
     "SELECT event_id, MAP(['a', 'b'], [user_id, event_id])['b'] AS mb, struct_pack(x := value, y := event_type).y AS y, 2 AS n FROM events")
-sql("json_props", """SELECT event_id, cast(get_json_object(props, '$.k') AS INT) AS k, json_array_length('["duck","goose","swan",null]') AS n, variant_get(parse_json(props), '$.k', 'int') AS v, from_json(props, 'k INT').k AS f FROM events""",
-    """SELECT event_id, (props->>'$.k')::INT AS k, json_array_length('["duck","goose","swan",null]')::INT AS n, (props->>'$.k')::INT AS v, (props->>'$.k')::INT AS f FROM events""")
+sql("json_props", """SELECT event_id, cast(get_json_object(props, '$.k') AS INT) AS k, json_array_length(concat('[', user_id, ', null, "', event_type, '", [1, 2]]')) AS n, variant_get(parse_json(props), '$.k', 'int') AS v, from_json(props, 'k INT').k AS f FROM events""",
+    """SELECT event_id, (props->>'$.k')::INT AS k, json_array_length('[' || user_id || ', null, "' || event_type || '", [1, 2]]')::INT AS n, (props->>'$.k')::INT AS v, (props->>'$.k')::INT AS f FROM events""")

@@ -47,17 +47,24 @@ def scan_series(t: Tables) -> DataFrame:
     return files.series(t.spark, 1, 500).union(t.spark.range(100, 200, 7))
 
 
-@query("scan_arrow", "SELECT id, upper(name) AS name FROM (VALUES (1, 'apple', true), (2, 'banana', false), (3, 'cherry', true)) v(id, name, is_odd) WHERE is_odd")
+@query("scan_arrow", "SELECT n_regionkey, count(*) AS n, sum(n_nationkey)::BIGINT AS s, max(upper(n_name)) AS m FROM nation WHERE n_nationkey % 2 = 0 GROUP BY n_regionkey")
 def scan_arrow(t: Tables) -> DataFrame:
-    import pyarrow as pa
+    """In-memory Arrow data under a view's name, filtered and aggregated; another table may take over the name."""
+    files.arrow(t.spark, t.region.toArrow(), "arrow_rows")
+    files.arrow(t.spark, t.nation.toArrow(), "arrow_rows")
+    return t.spark.sql("SELECT n_regionkey, count(*) AS n, sum(n_nationkey) AS s, max(upper(n_name)) AS m FROM arrow_rows WHERE n_nationkey % 2 = 0 GROUP BY n_regionkey")
 
-    data = pa.table({"id": pa.array([1, 2, 3], pa.int32()), "name": ["apple", "banana", "cherry"], "is_odd": [True, False, True]})
-    return files.arrow(t.spark, data).where("is_odd").select("id", F.upper("name").alias("name"))
 
+@query("scan_all_types", """SELECT * FROM (VALUES (1, false, (-128)::TINYINT, (-32768)::SMALLINT, (-2147483648)::INT, (-9223372036854775808)::BIGINT, (-1e300)::DOUBLE, (-99999999999999999.99)::DECIMAL(19,2), '', DATE '0001-01-01', TIMESTAMP '1900-01-01 00:00:00', 0),
+(2, true, 127::TINYINT, 32767::SMALLINT, 2147483647::INT, 9223372036854775807::BIGINT, 1e300::DOUBLE, 99999999999999999.99::DECIMAL(19,2), '🦆 é', DATE '9999-12-31', TIMESTAMP '2999-12-31 23:59:59.999999', 3),
+(3, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL)) v(k, bool, tiny, small, int, big, double, dec, text, day, moment, items)""")
+def scan_all_types(t: Tables) -> DataFrame:
+    return files.all_types(t.spark).withColumn("items", F.when(F.col("list").isNotNull(), F.size("list"))).drop("list", "blob", "float", "record", "mapping", "zoned")
 
-@query("scan_rowid", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS rowid FROM orders")
+
+@query("scan_rowid", "SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1)::BIGINT AS rowid FROM orders")
 def scan_rowid(t: Tables) -> DataFrame:
-    return files.with_ordinal(t.orders.select("o_orderkey"), "o_orderkey")
+    return files.with_ordinal(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
 
 
 sql("filter_forms", """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_totalprice > 100000 THEN 'big' ELSE 'small' END AS size_class,
@@ -81,11 +88,23 @@ def join_anti(t: Tables) -> DataFrame:
     return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
 
 
-sql("null_tests_outer", """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o_custkey
+sql("null_tests_outer", """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders o ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT'
 WHERE o_orderkey IS NULL OR o_orderkey % 2 = 0""")
-sql("join_full_outer", """SELECT coalesce(s.k, c.k) AS nation, ns, nc FROM (SELECT s_nationkey AS k, count(*) AS ns FROM supplier WHERE s_nationkey % 3 > 0 GROUP BY s_nationkey) s
-FULL JOIN (SELECT c_nationkey AS k, count(*) AS nc FROM customer WHERE c_nationkey % 3 < 2 GROUP BY c_nationkey) c ON s.k = c.k""")
-sql("join_right", "SELECT n_name, r_name FROM (SELECT * FROM nation WHERE n_nationkey < 10) n RIGHT JOIN region ON n_regionkey = r_regionkey")
+sql("join_full_outer", """SELECT coalesce(s.k, c.k) AS nation, ns, nc FROM (SELECT s_nationkey + 3 AS k, count(*) AS ns FROM supplier GROUP BY s_nationkey) s
+FULL JOIN (SELECT c_nationkey AS k, count(*) AS nc FROM customer GROUP BY c_nationkey) c ON s.k = c.k""")
+sql("join_right", "SELECT n_name, r_name FROM nation RIGHT JOIN region ON n_nationkey = r_regionkey * 7")
+sql("join_theta", "SELECT a.n_name AS x, b.n_name AS y FROM nation a JOIN nation b ON a.n_nationkey < b.n_nationkey AND a.n_regionkey <> b.n_regionkey")
+sql("join_natural", "SELECT a.r_name AS x, b.r_name AS y FROM region a NATURAL JOIN region b")
+sql("filter_not_in_nulls", "SELECT n_name FROM nation WHERE n_regionkey NOT IN (SELECT nullif(r_regionkey, 3) FROM region)")
+
+
+@query("join_strategies", "SELECT r_name, n_name, 4 AS times FROM nation JOIN region ON n_regionkey = r_regionkey")
+def join_strategies(t: Tables) -> DataFrame:
+    on = F.col("n_regionkey") == F.col("r_regionkey")
+    out = [joins.hinted(t.nation, t.region, on, s).select("r_name", "n_name") for s in joins.STRATEGIES]
+    return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3]).groupBy("r_name", "n_name").agg(F.count("*").cast("int").alias("times"))
+
+
 sql("join_cross", "SELECT r_name, n_name FROM region, nation")
 sql("join_self_using", "SELECT a.n_name AS a_name, b.n_name AS b_name, n_regionkey FROM nation a JOIN nation b USING (n_regionkey) WHERE a.n_nationkey < b.n_nationkey")
 sql("join_lateral", "SELECT r_name, x.n_name FROM region, LATERAL (SELECT n_name FROM nation WHERE n_regionkey = r_regionkey ORDER BY n_name LIMIT 2) x")
@@ -123,14 +142,6 @@ sql("agg_quantiles", "SELECT event_type, percentile(value, 0.25) AS q1, percenti
     "SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.9) AS q9, mode(user_id % 3 ORDER BY user_id % 3) AS m FROM events GROUP BY event_type")
 
 
-@query("agg_approx_distinct", "SELECT event_type, true AS close FROM events GROUP BY event_type")
-def agg_approx_distinct(t: Tables) -> DataFrame:
-    """Whether two sketches are within 10 % of the exact number."""
-    exact = F.count_distinct("event_id")
-    near = lambda c: F.abs(c - exact) <= 0.1 * exact
-    return t.events.groupBy("event_type").agg((near(F.approx_count_distinct("event_id", 0.02)) & near(F.hll_sketch_estimate(F.hll_sketch_agg("event_id")))).alias("close"))
-
-
 @query("agg_distinct_on", "SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey FROM orders ORDER BY o_custkey, o_totalprice DESC, o_orderkey")
 def agg_distinct_on(t: Tables) -> DataFrame:
     return shapes.distinct_on(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], shapes.ordered("-o_totalprice", "o_orderkey")).drop("o_totalprice")
@@ -142,10 +153,10 @@ def pivot_status(t: Tables) -> DataFrame:
     return shapes.pivot(t.orders, "o_orderstatus", F.count(F.lit(1)), ["o_orderpriority"], ["F", "O", "P"]).na.fill(0)
 
 
-@query("pivot_inferred", "PIVOT (VALUES ('Amsterdam', 2000, 1005), ('Amsterdam', 2010, 1065), ('Berlin', 2000, 3382), ('Berlin', 2010, 3460)) c(city, year, population) ON year USING sum(population)::BIGINT")
+@query("pivot_inferred", """SELECT l_linestatus, sum(l_quantity::DECIMAL(18,4)) FILTER (WHERE l_returnflag = 'A')::DOUBLE AS A, sum(l_quantity::DECIMAL(18,4)) FILTER (WHERE l_returnflag = 'N')::DOUBLE AS N,
+sum(l_quantity::DECIMAL(18,4)) FILTER (WHERE l_returnflag = 'R')::DOUBLE AS R FROM lineitem GROUP BY l_linestatus""")
 def pivot_inferred(t: Tables) -> DataFrame:
-    rows = [("Amsterdam", 2000, 1005), ("Amsterdam", 2010, 1065), ("Berlin", 2000, 3382), ("Berlin", 2010, 3460)]
-    return shapes.pivot(t.spark.createDataFrame(rows, "city string, year int, population int"), "year", F.sum("population"), ["city"])
+    return shapes.pivot(t.lineitem, "l_returnflag", total("l_quantity"), ["l_linestatus"])
 
 
 @query("unpivot_measures", """SELECT l_linestatus, 'n' AS name, count(*)::DOUBLE AS value FROM lineitem GROUP BY l_linestatus
@@ -167,6 +178,16 @@ def sort_limit(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(*shapes.ordered("-o_totalprice", "o_orderkey")).offset(5).limit(20)
 
 
+@query("sample_hash", "SELECT o_orderkey FROM orders WHERE ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT < 429496729")
+def sample_hash(t: Tables) -> DataFrame:
+    return shapes.sampled(t.orders, 10, "o_orderkey").select("o_orderkey")
+
+
+@query("limit_percent", "SELECT p_partkey FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT (SELECT (count(*) * 0.15)::BIGINT FROM part)")
+def limit_percent(t: Tables) -> DataFrame:
+    return shapes.first_percent(t.part.select("p_partkey", "p_retailprice"), shapes.ordered("-p_retailprice", "p_partkey"), 15).select("p_partkey")
+
+
 @query("sort_nulls_last", "SELECT x, (row_number() OVER (ORDER BY x NULLS LAST))::INT AS place FROM (VALUES ('a'), ('b'), (NULL), ('c')) v(x)")
 def sort_nulls_last(t: Tables) -> DataFrame:
     from pyspark.sql import Window

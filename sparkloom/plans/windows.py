@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators import shapes
@@ -46,8 +46,22 @@ def session(t: Tables) -> DataFrame:
     return plain_times(tw.sessions(t.events, "ts", "2 hours", [F.count("*").alias("n")], ("user_id",)), "session_start", "session_end")
 
 
-@query("series_gap_fill", """SELECT day, coalesce(n, 0) AS n FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL '1 day'))::DATE AS day FROM events WHERE event_type = 'error' AND user_id < 10)
-LEFT JOIN (SELECT ts::DATE AS day, count(*) AS n FROM events WHERE event_type = 'error' AND user_id < 10 GROUP BY 1) USING (day)""")
+@query("series_gap_fill", """SELECT event_type, user_id, day, coalesce(n, 0) AS n FROM
+(SELECT event_type, user_id, unnest(generate_series(a, b, INTERVAL '1 day'))::DATE AS day FROM (SELECT event_type, user_id, min(ts)::DATE AS a, max(ts)::DATE AS b FROM events GROUP BY ALL))
+LEFT JOIN (SELECT event_type, user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY ALL) USING (event_type, user_id, day)""")
 def series_gap_fill(t: Tables) -> DataFrame:
-    d = t.events.where("event_type = 'error' AND user_id < 10").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    return shapes.days_filled(d, "day", "n")
+    d = t.events.groupBy("event_type", "user_id", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    return shapes.days_filled(d, "day", "n", ["event_type", "user_id"])
+
+
+@query("win_qualify", "SELECT event_id, user_id FROM events QUALIFY sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= 1000")
+def win_qualify(t: Tables) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return shapes.qualify(t.events, F.sum("value").over(w), lambda x: x <= 1000).select("event_id", "user_id")
+
+
+@query("tumbling_time", "SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 day' - INTERVAL '1 microsecond' AS at, count(*) AS n FROM events GROUP BY 1")
+def tumbling_time(t: Tables) -> DataFrame:
+    """The time of a window, by which windows may be grouped again."""
+    d = t.events.groupBy(F.window(F.col("ts").cast("timestamp"), "1 day").alias("w")).agg(F.count("*").alias("n"))
+    return d.select(F.window_time("w").cast("timestamp_ntz").alias("at"), "n")

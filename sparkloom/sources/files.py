@@ -35,6 +35,19 @@ def arrow(spark: SparkSession, data: pa.Table | pa.RecordBatch | list[pa.RecordB
     return df
 
 
+def all_types(spark: SparkSession) -> DataFrame:
+    """A row with the least, one with the greatest and one with null values of each type; k tells them apart."""
+    kinds = {
+        "bool": ("boolean", "false", "true"), "tiny": ("tinyint", "-128", "127"), "small": ("smallint", "-32768", "32767"), "int": ("int", "-2147483648", "2147483647"),
+        "big": ("bigint", "-9223372036854775807L - 1L", "9223372036854775807L"), "float": ("float", "-3.4e38", "3.4e38"), "double": ("double", "-1e300", "1e300"),
+        "dec": ("decimal(19,2)", "-99999999999999999.99BD", "99999999999999999.99BD"), "text": ("string", "''", "'\U0001f986 é'"), "blob": ("binary", "X''", "X'00FF'"), "day": ("date", "DATE '0001-01-01'", "DATE '9999-12-31'"),
+        "moment": ("timestamp_ntz", "TIMESTAMP_NTZ '1900-01-01 00:00:00'", "TIMESTAMP_NTZ '2999-12-31 23:59:59.999999'"), "zoned": ("timestamp", "TIMESTAMP '1900-01-01 00:00:00Z'", "TIMESTAMP '2999-12-31 23:59:59Z'"),
+        "list": ("array<int>", "array()", "array(1, NULL, 2147483647)"), "record": ("struct<a:int>", "named_struct('a', NULL)", "named_struct('a', 1)"), "mapping": ("map<string,int>", "map()", "map('k', 1)"),
+    }
+    row = lambda k, of: f"SELECT {k} AS k, " + ", ".join(f"CAST({of(v)} AS {v[0]}) AS {c}" for c, v in kinds.items())
+    return spark.sql(" UNION ALL ".join((row(1, lambda v: v[1]), row(2, lambda v: v[2]), row(3, lambda v: "NULL"))))
+
+
 def series(spark: SparkSession, start: int, stop: int, step: int = 1, name: str = "generate_series") -> DataFrame:
     """Whole numbers from start to stop, both included."""
     end = stop + (1 if step > 0 else -1)

@@ -33,7 +33,10 @@ def test_in_range_brute(spark):
 
 def test_ordinal_and_series(spark):
     d = files.with_ordinal(spark.createDataFrame([(x,) for x in (5, 3, None, 9)], "x int"), "x")
-    assert sorted(r.rowid for r in d.collect()) == [0, 1, 2, 3]
+    assert [r.x for r in d.orderBy("rowid").collect()] == [None, 3, 5, 9]
+    many = spark.range(0, 1_000_000, 1, 16).select(F.xxhash64("id").alias("k"))
+    r = files.with_ordinal(many, "k").agg(F.count("*"), F.count_distinct("rowid"), F.min("rowid"), F.max("rowid")).first()
+    assert tuple(r) == (1_000_000, 1_000_000, 0, 999_999)
     assert [r[0] for r in files.series(spark, 1, 5, 2).collect()] == [1, 3, 5]
 
 
@@ -55,3 +58,39 @@ def test_sessions_and_stream_distinct(spark, tmp_path):
     spark.createDataFrame(rows * 2, "u int, t timestamp").write.parquet(str(tmp_path / "in"))
     s = windows.read(spark, str(tmp_path / "in"), d.schema)
     assert windows.run(windows.distinct(s, ["u", "t"], "t", "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp")).count() == 3
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    """A row behind the watermark of a batch before it isn't counted any more."""
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    for i, rows in enumerate(([day(1), day(1, 5)], [day(3)], [day(1, 6)], [day(9)])):
+        spark.createDataFrame([(t,) for t in rows], "t timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        s = windows.windowed(windows.read(spark, str(tmp_path / "in"), spark.createDataFrame([], "t timestamp").schema), "t", "1 day", None, [F.count("*").alias("n")], (), "1 hour")
+        out = windows.run(s, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert [(r.window_start.day, r.n) for r in out.orderBy("window_start").collect()] == [(1, 2), (3, 1)]
+
+
+def test_udf_failure_leaves_the_session(spark):
+    import pandas as pd
+    import pytest
+
+    from sparkloom.functions import udf
+
+    def fails(x: pd.Series) -> pd.Series:
+        raise ValueError("no good")
+
+    f = udf.scalar(spark, "fails", fails, "long")
+    with pytest.raises(Exception, match="no good"):
+        spark.range(3).select(f("id")).collect()
+    assert spark.range(3).count() == 3
+    udf.register(spark)
+    assert spark.sql("SELECT digit_sum(1905L) AS s").first().s == 15
+    assert spark.sql("SELECT sum(size) AS s FROM chunks(size => 4, n => 10)").first().s == 10
+
+
+def test_raising_conversions(spark):
+    import pytest
+
+    for bad in (values.to_uuid(F.lit("xyz")), values.enum_code(F.lit("Q"), ["A"]), values.unsigned(F.lit("256"), "utinyint")):
+        with pytest.raises(Exception, match="no UUID|no such label|out of range"):
+            spark.range(1).select(bad).collect()
