@@ -7,6 +7,7 @@ join, and a payload counts only if its digest and length verify.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -23,6 +24,8 @@ REVISIT_BYTES = 1000
 #: Copies of each small payload in the join, as any number of records may share one.
 SALTS = 16
 CRLF = "\r\n"
+#: Header field of a URL with line breaks.
+EXACT = "X-Exact-Target-Base64"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAYLOAD = "digest string, payload_digest string, payload_bytes long, packed binary"
 
@@ -52,12 +55,14 @@ def header(date: str):  # noqa: ANN201
     revisit = F.when(
         F.col("record_type") == "revisit", F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", name(F.col("refers_to"))))
     ).otherwise("")
-    # A line break in a URL would end its header line
-    target = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "[\r\n]", "%0A")
+    # A line break in a URL would end its header line: such a URL stands in a field of its own too, as Base64
+    url = F.coalesce(F.col("url"), F.lit(""))
+    target = F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    exact = F.when(target != url, line(EXACT, F.replace(F.base64(F.encode(url, "utf-8")), F.lit(CRLF), F.lit("")))).otherwise("")
     return F.encode(
         F.concat(
             F.lit("WARC/1.1" + CRLF), line("WARC-Type", F.col("record_type")), line("WARC-Record-ID", name(F.col("page_id"))), line("WARC-Date", F.lit(date)),
-            line("WARC-Target-URI", target), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))), revisit,
+            line("WARC-Target-URI", target), exact, line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))), revisit,
             line("WARC-Payload-Length", F.col("payload_bytes").cast("string")), line("Content-Type", F.lit("text/html; charset=utf-8")),
             line("Content-Length", block.cast("string")), F.lit(CRLF),
         ),
@@ -87,7 +92,11 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
 
 
 def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
-    """(page_id, record): the exact bytes of every record. A payload that fails its digest or length raises."""
+    """(page_id, record): the exact bytes of every record, one for each row of ``headers``, in no order.
+
+    A payload that fails its digest or length raises. Null
+    ids, repeated records and empty payloads are records like others; an empty archive gives an empty result.
+    """
     salt = F.when(F.col("small"), F.pmod(F.xxhash64("page_id"), F.lit(SALTS))).otherwise(0)
     need = headers.where("record_type = 'response'").withColumn("salt", salt.cast("int"))
     every = F.when(F.col("payload_bytes") < REVISIT_BYTES, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
@@ -108,7 +117,7 @@ def records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     return full.unionByName(bare).mapInArrow(run, "page_id long, record binary")
 
 
-FIELD = re.compile(rb"([A-Za-z-]+): (.*)\r\n")
+FIELD = re.compile(rb"([A-Za-z0-9-]+): (.*)\r\n")
 
 
 def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
@@ -124,7 +133,9 @@ def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
 def read(recs: DataFrame) -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_bytes, payload_digest) parsed from records.
 
-    A response's length and digest are those of its block; a revisit's are those that its header states.
+    A response's length and digest are those of its block; a revisit's are those that its header states. URLs come back as
+    they were, line breaks included; a null one as an empty string. One row for each record; a record whose length
+    doesn't fit raises; an empty table gives an empty result.
     """
     fields = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
 
@@ -139,7 +150,7 @@ def read(recs: DataFrame) -> DataFrame:
                 f, body = parse_record(r)
                 whole = f["WARC-Type"] == "response"
                 rows.append((
-                    number(f["WARC-Record-ID"]), f["WARC-Target-URI"], f["WARC-Type"], number(f.get("WARC-Refers-To")),
+                    number(f["WARC-Record-ID"]), base64.b64decode(f[EXACT]).decode() if EXACT in f else f["WARC-Target-URI"], f["WARC-Type"], number(f.get("WARC-Refers-To")),
                     len(body) if whole else int(f["WARC-Payload-Length"]), hashlib.sha1(body).hexdigest() if whole else f["WARC-Payload-Digest"].removeprefix("sha1:"),
                 ))
             types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
