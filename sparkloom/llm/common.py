@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkloom.session import table
-from sparkloom.work import discard, discard_all, written
+from sparkloom.work import discard, discard_all, work_schema, written
 
-__all__ = ["batches", "discard", "discard_all", "map_arrow", "mix", "powers", "salted_join", "small", "table", "text_bytes", "word_hashes", "word_offsets", "written"]
+__all__ = ["batches", "discard", "discard_all", "map_arrow", "mix", "powers", "salted_join", "small", "table", "text_bytes", "word_hashes", "word_offsets", "work_schema", "written"]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -86,7 +86,7 @@ def as_tool_use(conversations: DataFrame) -> DataFrame:
     what the assistant says next is that call's result, and other roles stay plain text. Identifiers repeat within a
     conversation: there are four of them.
     """
-    ident = lambda turn: F.concat(F.lit("call_"), F.floor(turn / 2) % 4)
+    ident = lambda turn: F.concat(F.lit("call_"), F.pmod(F.floor(turn / 2), F.lit(4)))
     call = F.to_json(F.struct(F.array(F.struct(
         ident(F.col("turn")).alias("id"), F.lit("search").alias("name"), F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("query"), F.col("turn").alias("limit"))).alias("arguments"),
     )).alias("tool_calls")))
