@@ -34,6 +34,8 @@ FREQUENT = 128
 SLACK = 8
 #: Longs of a bitmap of a node's shared tokens that are not frequent.
 MAP = 4
+#: Of a node's combinations so many, its smallest, stand beside each of them.
+LEAST = 4
 #: Members of a combination up to which all its pairs are compared in the second round.
 FEW = 12
 #: Members of a combination that one task compares with its pivots.
@@ -129,12 +131,12 @@ def plain(nodes: DataFrame) -> DataFrame:
 
 
 def combinations(nodes: DataFrame) -> DataFrame:
-    """(combo, node, n, own, m0, m1, ...): the token combinations of each node's prefix.
+    """(combo, node, n, own, m0, ..., k0, ...): the token combinations of each node's prefix, with its smallest ones.
 
     ``own``: tokens that no other node has. The bitmap has a bit for each shared token that is not frequent; a bit that
     the other node of a pair lacks is a token that it lacks.
     """
-    maps = [f"m{k}" for k in range(MAP)]
+    maps, least_of = [f"m{k}" for k in range(MAP)], [f"k{k}" for k in range(LEAST)]
 
     def of(n: int, df: np.ndarray, token: np.ndarray) -> np.ndarray:
         order = np.lexsort((token, df))
@@ -173,10 +175,11 @@ def combinations(nodes: DataFrame) -> DataFrame:
                 bits = np.zeros(64 * MAP, np.uint8)
                 bits[(t[d <= FREQUENT].view(np.uint64) >> np.uint64(7)) % np.uint64(len(bits))] = 1
                 bitmap = np.packbits(bits).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x), *(pa.array(np.full(len(x), v)) for v in (node[i], n[i], owns[i], *bitmap))], names=["combo", "node", "n", "own", *maps])
+                smallest = np.append(np.sort(x)[:LEAST], np.full(max(0, LEAST - len(x)), np.iinfo(np.int64).max))
+                yield pa.RecordBatch.from_arrays([pa.array(x), *(pa.array(np.full(len(x), v)) for v in (node[i], n[i], owns[i], *bitmap, *smallest))], names=["combo", "node", "n", "own", *maps, *least_of])
 
     d = nodes.select("node", "n", (F.col("n") - F.size("tokens")).cast("long").alias("own"), "tokens")
-    return d.mapInArrow(run, "combo long, node long, n long, own long, " + ", ".join(f"{m} long" for m in maps))
+    return d.mapInArrow(run, "combo long, node long, n long, own long, " + ", ".join(f"{m} long" for m in [*maps, *least_of]))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -226,13 +229,25 @@ def plausible(x: dict[str, Column], y: dict[str, Column]) -> Column:
     return fits
 
 
+def met_before(combo: Column, x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """Whether two nodes share a smaller combination than this one, as far as their smallest ones tell.
+
+    Such a pair is left to the smaller combination: it meets in the least that both have among their smallest, so it is
+    never lost, and two nodes that share hundreds of combinations don't meet in each of them.
+    """
+    shared = F.lit(False)
+    for i in range(LEAST):
+        shared |= (x[f"k{i}"] < combo) & x[f"k{i}"].isin(*[y[f"k{j}"] for j in range(LEAST)])
+    return shared
+
+
 def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
     """(id, root) for every node that has a link: groups of nodes, by rounds of comparisons with pivots.
 
     The members of a combination that very many nodes have are dealt in chunks, to each of which its pivots are copied.
     """
     spark = combos.sparkSession
-    facts = ["node", "n", "own", *(f"m{k}" for k in range(MAP))]
+    facts = ["node", "n", "own", *(f"m{k}" for k in range(MAP)), *(f"k{k}" for k in range(LEAST))]
     members = combos.withColumn("root", F.col("node"))
     roots = spark.createDataFrame([], "id long, root long")
     checked = spark.createDataFrame([], "a long, b long")
@@ -255,7 +270,8 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
         chosen = many.groupBy("combo", part.alias("part")).agg(F.min(F.struct(*facts, "root")).alias("p"), F.first("m").alias("m"))
         chosen = chosen.select("combo", "p", "m").union(few.select("combo", F.struct(*facts, "root"), "m"))
         p = chosen.select(F.col("combo").alias("c"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / CHUNK).cast("int") - 1)).alias("k"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
-        may = plausible({f: F.col(f) for f in facts}, {f: F.col(f"p_{f}") for f in facts})
+        mine, theirs = {f: F.col(f) for f in facts}, {f: F.col(f"p_{f}") for f in facts}
+        may = plausible(mine, theirs) & ~met_before(F.col("combo"), mine, theirs)
         pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("chunk") == F.col("k")) & (F.col("root") != F.col("p_root")) & may)
         # Each pair once, without those compared before: one aggregate, in which repeats meet before they are moved.
         pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.lit(0).alias("old"))
