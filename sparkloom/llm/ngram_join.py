@@ -36,8 +36,10 @@ SLACK = 8
 MAP = 4
 #: Of a node's combinations so many, its smallest, stand beside each of them.
 LEAST = 4
-#: Members of a combination up to which all its pairs are compared in the second round.
+#: Members of a combination up to which all its pairs are compared from the second round on.
 FEW = 12
+#: Growth of the pivots' number after the first round, and of that growth after each further one.
+GROWTH = 8
 #: Members of a combination that one task compares with its pivots.
 CHUNK = 1024
 SET = "doc_id long, n long, sig binary, tokens array<long>"
@@ -251,7 +253,7 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
     members = combos.withColumn("root", F.col("node"))
     roots = spark.createDataFrame([], "id long, root long")
     checked = spark.createDataFrame([], "a long, b long")
-    was, pivots = combos, 1
+    was, pivots, growth = combos, 1, GROWTH
     while True:
         # What is open: combinations with members of different groups. One row for each combination.
         state = members.groupBy("combo").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi")
@@ -263,15 +265,17 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
         if members.isEmpty():
             discard(members, checked)
             return roots
-        few = members.where(F.col("m") <= FEW) if pivots > 1 else members.where("false")
-        many = members.where(F.col("m") > FEW) if pivots > 1 else members
+        # Combinations with no more members than pivots are compared in full, which ends them.
+        most = max(FEW, pivots) if pivots > 1 else 0
+        few, many = members.where(F.col("m") <= most), members.where(F.col("m") > most)
         # Pivots: in each combination, the smallest node of each of so many parts.
         part = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots))
         chosen = many.groupBy("combo", part.alias("part")).agg(F.min(F.struct(*facts, "root")).alias("p"), F.first("m").alias("m"))
-        chosen = chosen.select("combo", "p", "m").union(few.select("combo", F.struct(*facts, "root"), "m"))
-        p = chosen.select(F.col("combo").alias("c"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / CHUNK).cast("int") - 1)).alias("k"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
+        chosen = chosen.select("combo", "p", "m", F.lit(False).alias("full")).union(few.select("combo", F.struct(*facts, "root"), "m", F.lit(True)))
+        p = chosen.select(F.col("combo").alias("c"), "full", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / CHUNK).cast("int") - 1)).alias("k"), *(F.col(f"p.{f}").alias(f"p_{f}") for f in [*facts, "root"]))
         mine, theirs = {f: F.col(f) for f in facts}, {f: F.col(f"p_{f}") for f in facts}
         may = plausible(mine, theirs) & ~met_before(F.col("combo"), mine, theirs)
+        may &= ~F.col("full") | (F.col("node") < F.col("p_node"))  # where all are pivots, a pair meets once
         pairs = members.join(p, (F.col("combo") == F.col("c")) & (F.col("chunk") == F.col("k")) & (F.col("root") != F.col("p_root")) & may)
         # Each pair once, without those compared before: one aggregate, in which repeats meet before they are moved.
         pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"), F.lit(0).alias("old"))
@@ -296,11 +300,11 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
             roots = now
         discard(links)
         # Pivots, and all of the combinations that were compared in full, are done.
-        done = chosen.select(F.col("combo").alias("c"), F.col("p.node").alias("p_node"))
+        done = chosen.where("NOT full").select(F.col("combo").alias("c"), F.col("p.node").alias("p_node"))
         members = many.join(done, (F.col("combo") == F.col("c")) & (F.col("node") == F.col("p_node")), "left_anti").drop("m", "root", "chunk")
         r = roots.select(F.col("id").alias("r_id"), F.col("root").alias("r_root"))
         members = members.join(r, F.col("node") == F.col("r_id"), "left").select("combo", *facts, F.coalesce("r_root", "node").alias("root"))
-        pivots *= 8
+        pivots, growth = pivots * growth, growth * GROWTH
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
