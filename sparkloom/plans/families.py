@@ -29,7 +29,7 @@ sql("fam_date_parts", """SELECT event_id, year(ts) AS a, quarter(ts) AS b, month
  day(ts)::INT AS l, hour(ts)::INT AS m, date_trunc('hour', ts) AS n, date_trunc('month', ts)::DATE AS o, last_day(ts)::DATE AS p, (ts::DATE + (8 - isodow(ts))::INT)::DATE AS q FROM events""")
 sql("fam_date_math", """SELECT o_orderkey, date_add(d, 10) AS a, date_sub(d, 10) AS b, date_diff(DATE '2002-01-01', d) AS c, datediff(DATE '2002-01-01', d) AS c2, add_months(d, 5) AS e, months_between(trunc(d, 'MM'), DATE '1995-01-01') AS f,
  make_date(2000, month(d), 1) AS g, make_timestamp_ntz(2000, month(d), 2, 3, 4, 5.5) AS h, cast(make_timestamp(2000, month(d), 2, 3, 4, 5.5) AS TIMESTAMP_NTZ) AS i, timestampdiff(HOUR, TIMESTAMP_NTZ '1995-01-01 00:00:00', t) AS j, timestampadd(DAY, 3, t) AS k,
- t + make_interval(0, 1, 0, 2, 3, 0, 0) AS l, t + make_dt_interval(1, 2, 3, 4) AS m, t + make_ym_interval(1, 2) AS n, unix_timestamp(cast(t AS TIMESTAMP)) AS o, from_unixtime(86400 * o_orderkey) AS p, to_date(date_format(t, 'yyyy/MM/dd'), 'yyyy/MM/dd') AS q,
+ t + make_interval(0, 1, 0, 2, 3, 0, 0) AS l, t + make_dt_interval(1, 2, 3, 4) AS m, t + make_ym_interval(1, 2) AS n, unix_timestamp(cast(t AS TIMESTAMP)) AS o, trim(LEADING '+' FROM from_unixtime(86400 * o_orderkey)) AS p, to_date(date_format(t, 'yyyy/MM/dd'), 'yyyy/MM/dd') AS q,
  cast(to_timestamp(cast(t AS STRING)) AS TIMESTAMP_NTZ) AS r, to_timestamp_ntz(cast(t AS STRING)) AS s, cast(from_utc_timestamp(cast(t AS TIMESTAMP), '+02:00') AS TIMESTAMP_NTZ) AS u, cast(to_utc_timestamp(cast(t AS TIMESTAMP), '+02:00') AS TIMESTAMP_NTZ) AS v,
  convert_timezone('UTC', '+01:00', t) AS w FROM (SELECT o_orderkey, o_orderdate AS t, cast(o_orderdate AS DATE) AS d FROM orders)""",
     """SELECT o_orderkey, d + 10 AS a, d - 10 AS b, date_diff('day', d, DATE '2002-01-01')::INT AS c, date_diff('day', d, DATE '2002-01-01')::INT AS c2, (d + INTERVAL '5' MONTH)::DATE AS e, date_diff('month', DATE '1995-01-01', d)::DOUBLE AS f,
