@@ -90,12 +90,33 @@ def test_approximations_keep_their_bounds(spark, sf_dir, data):
         assert r.q == pytest.approx(quantiles(x, n=10, method="inclusive")[8])
 
 
+def test_approximations_of_repeated_ids(spark, tmp_path, data):
+    """Repeated and null ids and types; no aggregate beside the count of distinct ids is kept for each id."""
+    rows = [r | {"event_id": r["event_id"] // 3 if i % 5 else None, "event_type": r["event_type"] if i % 7 else None} for i, r in enumerate(data.events)]
+    spark.createDataFrame(rows).write.parquet(f"{tmp_path}/events.parquet")
+    out = QUERIES["agg_approx"](spark, str(tmp_path))
+    ids = defaultdict(set)
+    for r in rows:
+        ids[r["event_type"]].add(r["event_id"])
+    assert {r.event_type: r.n for r in out.collect()} == {k: len(v - {None}) for k, v in ids.items()}
+    keyed_by_id = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "ObjectHashAggregate(keys=" in x and "event_id#" in x.split("]")[0]]
+    assert not keyed_by_id
+
+
 def test_functions_without_counterpart(spark, sf_dir):
     for r in QUERIES["fam_spark_only"](spark, sf_dir).collect():
         assert r.crc == zlib.crc32(r.n_name.encode()) and r.sound == "N350" and r.zone == "UTC"
         assert r.file and r.part and r.mono and r.ok
 
 
+def test_dates_after_year_9999(spark, sf_dir, tmp_path, data):
+    """Large order keys make times whose years have five digits: they come without a plus sign."""
+    days = {0: "1970-01-01", 2_932_896: "9999-12-31", 2_932_897: "10000-01-01", 8_999_999: "26611-03-01"}
+    rows = [r | {"o_orderkey": k} for k, r in zip(days, data.orders, strict=False)]
+    spark.createDataFrame(rows, spark.read.parquet(f"{sf_dir}/orders.parquet").schema).write.parquet(f"{tmp_path}/orders.parquet")
+    assert {r.o_orderkey: r.p for r in QUERIES["fam_date_math"](spark, str(tmp_path)).collect()} == {k: f"{d} 00:00:00" for k, d in days.items()}
+
+
 def test_windows_and_streams(got, data):
     days = Counter((r["ts"].replace(hour=0, minute=0, second=0, microsecond=0), r["event_type"]) for r in data.events)
     assert got("stream_tumbling", "day", "event_type", "n") == in_order((*k, n) for k, n in days.items())
