@@ -34,7 +34,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: drops documents that fail the base rules or score too low against trusted text."""
-    return quality_rules.judge(docs, trusted_labels(spark, sf_dir)).where("quality.kept").select(docs.columns)
+    return quality_rules.judge(docs, trusted_labels(spark, sf_dir), buckets=quality_rules.EACH).where("quality.kept").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

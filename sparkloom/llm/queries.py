@@ -65,7 +65,7 @@ def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules.judge(table(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
+    out = quality_rules.judge(table(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir), buckets=quality_rules.EACH)
     return out.select("doc_id", "quality.*")
 
 

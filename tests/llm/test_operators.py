@@ -423,6 +423,30 @@ def test_quality_rules_grow(spark, sf_dir, order):
             assert r.quality.kept == (not r.quality.base_failed and r.quality.score >= quality_rules.MIN_SCORE)
 
 
+def test_quality_rules_of_one_formula(spark, docs, tmp_path):
+    """The query and the pipeline score a small corpus as they do a large one: by a count for each n-gram."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(3, 1, 0), (9, 1, 0), (11, 1, 1), (7, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, d in (("some", docs), ("none", docs.limit(0))):
+        d.select("doc_id", "text").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{tmp_path}/labels.parquet").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    raw, good = Counter(), Counter()
+    for k, t in texts(docs):
+        raw.update(words(t))
+        good.update(words(t) if k in {3, 9} else [])
+    share = sum(good.values()) / sum(raw.values())
+    assert 0 < share and len(raw) < quality_rules.BUCKETS
+    score = {(k, t): np.mean([math.log((good[x] + 1) / (raw[x] * share + 1)) for x in words(t)]) if words(t) else 0 for k, t in texts(docs)}
+    kept = {k: not brute_base(k[1])[5] and x >= quality_rules.MIN_SCORE for k, x in score.items()}
+    got = queries.op8_quality_rules(spark, f"{tmp_path}/some").select("doc_id", "score", "kept").collect()
+    by_id = {k: {(round(float(score[k, t]), 5), kept[k, t]) for i, t in score if i == k} for k, _ in score}
+    assert len(got) == docs.count() and all((round(r.score, 5), r.kept) in by_id[r.doc_id] for r in got)
+    stage = corpus_pipeline.apply_rules(spark, docs.select("doc_id", "text"), f"{tmp_path}/some").collect()
+    assert Counter((r.doc_id, r.text) for r in stage) == Counter(x for x in texts(docs) if kept[x])
+    assert queries.op8_quality_rules(spark, f"{tmp_path}/none").isEmpty()
+
+
 def brute_urls(rows):
     """(page_id, host, path, rule, verdict) of (page_id, url) rows, sorted."""
     out = []
