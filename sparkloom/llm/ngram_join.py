@@ -32,7 +32,7 @@ WORDS = 5
 FREQUENT = 128
 #: One more token in the first order for each so many of the set.
 SLACK = 8
-#: Longs of a bitmap of a node's shared tokens that are not frequent.
+#: Longs of each of two bitmaps of a node's shared tokens: of those that are not frequent, and of those that are.
 MAP = 4
 #: Of a node's combinations so many, its smallest, stand beside each of them.
 LEAST = 4
@@ -135,10 +135,11 @@ def plain(nodes: DataFrame) -> DataFrame:
 def combinations(nodes: DataFrame) -> DataFrame:
     """(combo, node, n, own, m0, ..., k0, ...): the token combinations of each node's prefix, with its smallest ones.
 
-    ``own``: tokens that no other node has. The bitmap has a bit for each shared token that is not frequent; a bit that
-    the other node of a pair lacks is a token that it lacks.
+    ``own``: tokens that no other node has. The bitmaps have a bit for each shared token, the first one's longs for those
+    that are not frequent, the second one's for those that are; a bit that the other node of a pair lacks is a token
+    that it lacks.
     """
-    maps, least_of = [f"m{k}" for k in range(MAP)], [f"k{k}" for k in range(LEAST)]
+    maps, least_of = [f"m{k}" for k in range(2 * MAP)], [f"k{k}" for k in range(LEAST)]
 
     def of(n: int, df: np.ndarray, token: np.ndarray) -> np.ndarray:
         order = np.lexsort((token, df))
@@ -174,8 +175,8 @@ def combinations(nodes: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 d, t = df[offs[i] : offs[i + 1]], token[offs[i] : offs[i + 1]]
                 x = of(int(n[i]), d, t)
-                bits = np.zeros(64 * MAP, np.uint8)
-                bits[(t[d <= FREQUENT].view(np.uint64) >> np.uint64(7)) % np.uint64(len(bits))] = 1
+                bits = np.zeros(2 * 64 * MAP, np.uint8)
+                bits[(t.view(np.uint64) >> np.uint64(7)) % np.uint64(64 * MAP) + np.uint64(64 * MAP) * (d > FREQUENT).astype(np.uint64)] = 1
                 bitmap = np.packbits(bits).view(np.int64)
                 smallest = np.append(np.sort(x)[:LEAST], np.full(max(0, LEAST - len(x)), np.iinfo(np.int64).max))
                 yield pa.RecordBatch.from_arrays([pa.array(x), *(pa.array(np.full(len(x), v)) for v in (node[i], n[i], owns[i], *bitmap, *smallest))], names=["combo", "node", "n", "own", *maps, *least_of])
@@ -226,7 +227,7 @@ def plausible(x: dict[str, Column], y: dict[str, Column]) -> Column:
     tokens that only one node has, or whose bit the other lacks, aren't in the overlap."""
     fits = F.lit(True)
     for a, b in ((x, y), (y, x)):
-        lacks = sum((F.bit_count(a[f"m{k}"].bitwiseAND(F.bitwise_not(b[f"m{k}"]))) for k in range(MAP)), F.lit(0))
+        lacks = sum((F.bit_count(a[f"m{k}"].bitwiseAND(F.bitwise_not(b[f"m{k}"]))) for k in range(2 * MAP)), F.lit(0))
         fits &= 7 * (a["n"] - a["own"] - lacks) >= 3 * (a["n"] + b["n"])
     return fits
 
@@ -249,7 +250,7 @@ def linked_groups(combos: DataFrame, sets: DataFrame) -> DataFrame:
     The members of a combination that very many nodes have are dealt in chunks, to each of which its pivots are copied.
     """
     spark = combos.sparkSession
-    facts = ["node", "n", "own", *(f"m{k}" for k in range(MAP)), *(f"k{k}" for k in range(LEAST))]
+    facts = ["node", "n", "own", *(f"m{k}" for k in range(2 * MAP)), *(f"k{k}" for k in range(LEAST))]
     members = combos.withColumn("root", F.col("node"))
     roots = spark.createDataFrame([], "id long, root long")
     checked = spark.createDataFrame([], "a long, b long")

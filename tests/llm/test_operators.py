@@ -219,6 +219,29 @@ def brute_components(rows):
     return sorted(((k, len(s), least.get(g)) for (k, _), s, g in zip(rows, sets, group, strict=True)), key=repr)
 
 
+def test_ngram_join_bound(spark):
+    """Pairs of a group whose tokens are mostly frequent: those that link may meet, those with few shared tokens may not."""
+    rng = np.random.default_rng(7)
+    tokens = rng.integers(-(2**62), 2**62, 400).tolist()
+    df = {t: 5000 if i % 10 else 7 for i, t in enumerate(tokens)}
+    sets = {}
+    for k in range(40):
+        lost = rng.choice(60, int(rng.integers(0, 50)), replace=False).tolist()
+        sets[k] = {t for i, t in enumerate(tokens[:60]) if i not in lost} | set(rng.choice(tokens[60:], len(lost), replace=False).tolist())
+    rows = [(k, len(x) + 1, [(df[t], t) for t in sorted(x)]) for k, x in sets.items()]  # and a token that no other has
+    nodes = spark.createDataFrame(rows, "node long, n long, tokens array<struct<df: long, token: long>>")
+    c = ngram_join.combinations(nodes).drop("combo").dropDuplicates(["node"])
+    other = c.toDF(*[f"p_{x}" for x in c.columns])
+    both = c.join(other, c.node < other.p_node)
+    may = ngram_join.plausible({x: both[x] for x in c.columns}, {x: both[f"p_{x}"] for x in c.columns})
+    got = {(r.node, r.p_node): r.may for r in both.select("node", "p_node", may.alias("may")).collect()}
+    assert len(got) == 40 * 39 // 2
+    linked = {(a, b) for a, b in got if 100 * len(sets[a] & sets[b]) >= 75 * (len(sets[a] | sets[b]) + 2)}
+    far = {(a, b) for a, b in got if len(sets[a] & sets[b]) < 25}
+    assert linked and all(got[x] for x in linked)
+    assert far and not any(got[x] for x in far)
+
+
 def test_ngram_join(docs, empty):
     got = sorted((tuple(r) for r in ngram_join.join(docs).collect()), key=repr)
     assert got == brute_components(texts(docs))
