@@ -56,7 +56,7 @@ def series_gap_fill(t: Tables) -> DataFrame:
 
 @query("win_qualify", "SELECT event_id, user_id FROM events QUALIFY sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= 1000")
 def win_qualify(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("user_id").orderBy(*shapes.ordered("ts", "event_id")).rowsBetween(Window.unboundedPreceding, 0)
     return shapes.qualify(t.events, F.sum("value").over(w), lambda x: x <= 1000).select("event_id", "user_id")
 
 

@@ -103,6 +103,18 @@ def test_approximations_of_repeated_ids(spark, tmp_path, data):
     assert not keyed_by_id
 
 
+def test_running_sums_count_nulls_last(spark, tmp_path, sf_dir, data):
+    """Events without a time come after a user's others, as in the query's SQL."""
+    rows = [r | {"ts": r["ts"] if i % 4 else None} for i, r in enumerate(data.events)]
+    spark.createDataFrame(rows, spark.read.parquet(f"{sf_dir}/events.parquet").schema).write.parquet(f"{tmp_path}/events.parquet")
+    want, sums = [], Counter()
+    for r in sorted(rows, key=lambda r: (r["ts"] is None, r["ts"] or dt.datetime.min, r["event_id"])):
+        sums[r["user_id"]] += r["value"]
+        if sums[r["user_id"]] <= 1000:
+            want.append((r["event_id"], r["user_id"]))
+    assert in_order(QUERIES["win_qualify"](spark, str(tmp_path)).collect()) == in_order(want)
+
+
 def test_functions_without_counterpart(spark, sf_dir):
     for r in QUERIES["fam_spark_only"](spark, sf_dir).collect():
         assert r.crc == zlib.crc32(r.n_name.encode()) and r.sound == "N350" and r.zone == "UTC"
